@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,20 +13,23 @@ from ledgerlens.operators.joins import skew_join
 from ledgerlens.sources import Scratch
 
 
-def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+# Links that one task contracts at a time.
+_CHUNK = 500_000
+
+
+def connected_components(edges: DataFrame, scratch: Scratch, chunk: int = _CHUNK) -> DataFrame:
     """(node, component) of every node that has an edge; the component is its smallest node.
 
     `edges` has bigint columns `a` and `b`. Each round links every node to the
     smallest node next to it, first from above, then from below, until the
-    links form stars. Rounds grow with the logarithm of the graph's size and
-    hand over through stored tables.
+    links form stars. Every round starts from links that were contracted where
+    they lay. Rounds grow with the logarithm of the graph's size and hand over
+    through stored tables.
     """
     a, b = F.greatest("a", "b"), F.least("a", "b")
-    links = scratch.write(
-        edges.select(a.alias("child"), b.alias("parent")).filter("child <> parent").distinct(), "links"
-    )
+    links = _contract(edges.select(a.alias("child"), b.alias("parent")).filter("child <> parent"), scratch, chunk)
     while not _are_stars(links):
-        links = _small_star(_large_star(links, scratch), scratch)
+        links = _contract(_small_star(_large_star(links, scratch), scratch), scratch, chunk)
     roots = links.select(F.col("parent").alias("node")).distinct()
     return links.select(F.col("child").alias("node"), F.col("parent").alias("component")).unionByName(
         roots.withColumn("component", F.col("node"))
@@ -39,6 +46,46 @@ def _are_stars(links: DataFrame) -> bool:
     return totals.filter((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
 
 
+def _contract(links: DataFrame, scratch: Scratch, chunk: int) -> DataFrame:
+    """Replace the links of each chunk by stars that connect the same nodes.
+
+    The map-side combine of connectivity: a chunk of links becomes at most one
+    link per node, and repeated links fall away.
+    """
+    # Gathers links of a node, yet splits what would make one task too large.
+    gathered = links.hint("rebalance", "child")
+
+    def stars_of_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += len(batch)
+            if size >= chunk:
+                yield _stars(pd.concat(held))
+                held, size = [], 0
+        if size:
+            yield _stars(pd.concat(held))
+
+    return scratch.write(gathered.mapInPandas(stars_of_chunks, "child long, parent long"), "links")
+
+
+def _stars(links: pd.DataFrame) -> pd.DataFrame:
+    nodes, places = np.unique(links[["child", "parent"]].to_numpy().T, return_inverse=True)
+    a, b = places.reshape(2, -1)
+    root = np.arange(len(nodes))
+    while True:
+        # Hook the roots of both ends to the smaller one, then follow the hooks.
+        low, before = np.minimum(root[a], root[b]), root.copy()
+        np.minimum.at(root, before[a], low)
+        np.minimum.at(root, before[b], low)
+        while (root[root] != root).any():
+            root = root[root]
+        if (root == before).all():
+            break
+    child = root != np.arange(len(nodes))
+    return pd.DataFrame({"child": nodes[child], "parent": nodes[root[child]]})
+
+
 def _large_star(links: DataFrame, scratch: Scratch) -> DataFrame:
     """Link every larger neighbour of a node to the smallest node around it, itself included."""
     both = links.select(F.col("child").alias("node"), F.col("parent").alias("near")).unionByName(
@@ -66,4 +113,4 @@ def _small_star(links: DataFrame, scratch: Scratch) -> DataFrame:
             )
         )
     )
-    return scratch.write(moved.filter("child <> parent").distinct(), "small-star")
+    return moved.filter("child <> parent")
