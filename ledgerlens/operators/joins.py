@@ -64,8 +64,8 @@ class Grid:
 def near_pairs(
     left: DataFrame,
     right: DataFrame,
-    left_coords: Sequence[str],
-    right_coords: Sequence[str],
+    left_coords: Sequence[Column],
+    right_coords: Sequence[Column],
     grid: Grid,
     right_key: str,
     scratch,
@@ -88,8 +88,8 @@ def near_pairs(
     ]
     width = F.lit(float(grid.width))
 
-    def index(coord: str) -> Column:
-        return F.floor(F.col(coord) / width)
+    def index(coord: Column) -> Column:
+        return F.floor(coord / width)
 
     home = right.withColumn("__cell", F.array(*[index(right_coords[d]) for d in levels[0]]))
     visit = _visit(left.withColumn("__cell", F.array().cast("array<bigint>")), left_coords, levels[0], index)
@@ -99,7 +99,7 @@ def near_pairs(
             "crowded",
         )
         if crowded.isEmpty():
-            return home.join(visit, "__cell").drop("__cell")
+            return home.join(_spread(visit, "__cell"), "__cell").drop("__cell")
         if depth + 1 == len(levels):
             break
         dims = levels[depth + 1]
@@ -132,10 +132,15 @@ def near_pairs(
         .withColumn("__salt", F.explode(F.sequence(F.lit(0), one - 1)))
         .drop("__salts")
     )
-    return home.join(visit, ["__cell", "__salt"]).drop("__cell", "__salt")
+    return home.join(_spread(visit, "__cell", "__salt"), ["__cell", "__salt"]).drop("__cell", "__salt")
 
 
-def _visit(left: DataFrame, coords: Sequence[str], dims: Sequence[int], index) -> DataFrame:
+def _spread(visit: DataFrame, *by: str) -> DataFrame:
+    """Keep the comparisons on all tasks: their cost is in the pairs, which byte sizes do not show."""
+    return visit.repartition(int(visit.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
+def _visit(left: DataFrame, coords: Sequence[Column], dims: Sequence[int], index) -> DataFrame:
     """Append to each row's cell the three neighbouring indices along every given dimension."""
     out = left
     for d in dims:

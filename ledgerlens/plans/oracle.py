@@ -140,9 +140,9 @@ def _clusters(points: str, coords: list[str], eps: float, min_pts: int, reach: s
   FROM rounds x
   JOIN (SELECT links.a, min(r.l) AS l FROM links JOIN rounds r ON r.id = links.b GROUP BY links.a) y ON y.a = x.id
   JOIN rounds z ON z.id = y.l
-  WHERE x.i < 40
+  WHERE x.i < 300
 )""",
-        "labelled AS MATERIALIZED (SELECT id, l FROM rounds WHERE i = 40)",
+        "labelled AS MATERIALIZED (SELECT id, l FROM rounds WHERE i = 300)",
         """clusters AS MATERIALIZED (
   SELECT id AS point, l AS component, true AS is_core FROM labelled
   UNION ALL
