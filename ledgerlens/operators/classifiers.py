@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.ml import Estimator, Model
 from pyspark.ml import classification as C
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens import schema as S
 from ledgerlens.functions import positive_probability, threshold_label
+from ledgerlens.sources import local_table
 
 SEED = 42
 
@@ -84,6 +86,10 @@ def naive_bayes_parameters(model: C.NaiveBayesModel, features=S.MODEL_FEATURES)
         for label in range(model.numClasses)
         for j, name in enumerate(features)
     ]
-    return SparkSession.active().createDataFrame(
-        rows, "label int, feature string, log_prior double, log_likelihood double"
-    )
+    columns = [
+        ("label", pa.int32()),
+        ("feature", pa.string()),
+        ("log_prior", pa.float64()),
+        ("log_likelihood", pa.float64()),
+    ]
+    return local_table(SparkSession.active(), columns, rows)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
+import pyarrow as pa
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from ledgerlens import schema as S
 from ledgerlens.functions import clock_hour
 from ledgerlens.operators.quantiles import exact_quantiles
 from ledgerlens.operators.scaling import assembler
+from ledgerlens.sources import local_table
 
 
 def row_counts(df: DataFrame, label: str = "Class") -> DataFrame:
@@ -128,7 +130,7 @@ def correlation_matrix(df: DataFrame, features: Sequence[str] = S.PROFILE_FEATUR
     cells = [
         (a, b, float(matrix[i, j])) for i, a in enumerate(features) for j, b in enumerate(features)
     ]
-    return spark.createDataFrame(cells, "a string, b string, r double")
+    return local_table(spark, [("a", pa.string()), ("b", pa.string()), ("r", pa.float64())], cells)
 
 
 def _pairwise_correlation(df: DataFrame, features: list[str]) -> DataFrame:

@@ -12,9 +12,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.sources import local_table
+
 _SLICES = 512
 
 
@@ -46,11 +49,13 @@ def exact_quantiles(
     while open_:
         # Ranks that still share a bracket are counted together.
         brackets = sorted({(c, lo, hi) for (c, _), (lo, hi, _) in open_.items()})
-        targets = spark.createDataFrame(
+        bracket = [("feature", pa.string()), ("lo", pa.float64()), ("hi", pa.float64())]
+        targets = local_table(
+            spark,
+            [*bracket, ("k", pa.int64()), ("within", pa.int64())],
             [(c, lo, hi, k, within) for (c, k), (lo, hi, within) in sorted(open_.items())],
-            "feature string, lo double, hi double, k long, within long",
         )
-        grid = spark.createDataFrame(brackets, "feature string, lo double, hi double")
+        grid = local_table(spark, bracket, brackets)
         names = sorted({c for c, _, _ in brackets})
         long = df.select(
             F.inline(

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import bisect_right
 from ledgerlens.operators.evaluation import _with_ratios
+from ledgerlens.sources import local_table
 
 # 0.01, 0.02, .. 0.99
 DEFAULT_THRESHOLDS = tuple(i / 100.0 for i in range(1, 100))
@@ -28,11 +30,14 @@ def threshold_sweep(
     of the table.
     """
     cuts = sorted(float(t) for t in thresholds)
-    spark = df.sparkSession
     groups = df.groupBy(bisect_right(score, cuts).alias("reached")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    grid = spark.createDataFrame([(i, t) for i, t in enumerate([None, *cuts])], "reached int, threshold double")
+    grid = local_table(
+        df.sparkSession,
+        [("reached", pa.int32()), ("threshold", pa.float64())],
+        enumerate([None, *cuts]),
+    )
     # At most len(thresholds) + 1 rows reach these windows.
     above = Window.orderBy(F.desc("reached")).rowsBetween(Window.unboundedPreceding, 0)
     below = Window.orderBy(F.asc("reached")).rowsBetween(Window.unboundedPreceding, -1)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
 from ledgerlens.functions import hash_bucket
+from ledgerlens.sources import spread_rows
 
 KEY = "event_id"
 BUCKET = "b"
@@ -18,7 +19,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     Buckets under 5 carry the opposite class: half a percent of label noise.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    events = spark.read.parquet(f"{folder}/events.parquet")
+    events = spread_rows(spark.read.parquet(f"{folder}/events.parquet").select(KEY, "ts", "value"), KEY)
     vectors = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding")
     second = F.unix_seconds(F.col("ts").cast("timestamp"))
     first = events.agg(F.min(second).alias("s")).scalar()
@@ -43,7 +44,8 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
 
 def plane_points(spark: SparkSession, folder: str) -> DataFrame:
     """Every event as a point of the plane: user by amount."""
-    return spark.read.parquet(f"{folder}/events.parquet").select(
+    events = spark.read.parquet(f"{folder}/events.parquet").select(KEY, "user_id", "value")
+    return spread_rows(events, KEY).select(
         F.col(KEY).alias("id"),
         (F.col("user_id") / F.lit(150.0)).alias("x"),
         (F.col("value") / F.lit(500.0)).alias("y"),

@@ -1,5 +1,6 @@
 """Reading, writing and hand-over tables."""
 
+from ledgerlens.sources.local import local_table
 from ledgerlens.sources.scratch import Scratch
 from ledgerlens.sources.transactions import (
     preview,
@@ -7,15 +8,18 @@ from ledgerlens.sources.transactions import (
     read_csv_text,
     read_feature_arrays,
     read_parquet,
+    spread_rows,
     write_parquet,
 )
 
 __all__ = [
     "Scratch",
+    "local_table",
     "preview",
     "read_csv",
     "read_csv_text",
     "read_feature_arrays",
     "read_parquet",
+    "spread_rows",
     "write_parquet",
 ]

@@ -61,3 +61,9 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
     """The first rows, for looking at."""
     return df.limit(n)
+
+
+def spread_rows(df: DataFrame, key: str) -> DataFrame:
+    """Deal a table of few files over all task slots; a table of many is left as it is."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots, key)
