@@ -47,14 +47,14 @@ def positive_probability(probability: str | Column = "probability") -> Column:
     return vector_to_array(_col(probability)).getItem(1)
 
 
-def bisect_right(value: str | Column, cuts: Sequence[float]) -> Column:
-    """How many of the ascending cuts are <= value, as a balanced CASE tree."""
-    v = _col(value)
+def bisect_right(column: str, cuts: Sequence[float]) -> Column:
+    """How many of the ascending cuts are <= the column, as a balanced CASE tree."""
 
-    def node(lo: int, hi: int) -> Column:
+    def node(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        return F.when(v >= F.lit(float(cuts[mid])), node(mid + 1, hi)).otherwise(node(lo, mid))
+        cut = f"{float(cuts[mid])!r}D"
+        return f"CASE WHEN `{column}` >= {cut} THEN {node(mid + 1, hi)} ELSE {node(lo, mid)} END"
 
-    return node(0, len(cuts))
+    return F.expr(node(0, len(cuts)))

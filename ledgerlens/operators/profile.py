@@ -94,25 +94,21 @@ def box_plot_stats(df: DataFrame, features: Sequence[str] = S.PROFILE_FEATURES,
 
     aggregates, rows = [], []
     for i, c in enumerate(features):
-        q1, _, q3 = quartiles[c]
-        low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
-        x = F.col(c)
+        q1, median, q3 = quartiles[c]
+        if median is None:
+            continue
+        low, high = f"{q1 - 1.5 * (q3 - q1)!r}D", f"{q3 + 1.5 * (q3 - q1)!r}D"
         aggregates += [
-            F.min(F.when(x >= low, x)).alias(f"lo{i}"),
-            F.max(F.when(x <= high, x)).alias(f"hi{i}"),
-            F.count_if((x < low) | (x > high)).alias(f"out{i}"),
+            f"min(`{c}`) filter (where `{c}` >= {low}) as lo{i}",
+            f"max(`{c}`) filter (where `{c}` <= {high}) as hi{i}",
+            f"count_if(`{c}` < {low} or `{c}` > {high}) as out{i}",
         ]
+        # A whisker never ends inside the box.
         rows.append(
-            F.struct(
-                F.lit(c).alias("feature"),
-                *[F.lit(v).alias(n) for n, v in zip(("q1", "median", "q3"), quartiles[c])],
-                # A whisker never ends inside the box.
-                F.least(F.col(f"lo{i}"), F.lit(q1)).alias("whisker_low"),
-                F.greatest(F.col(f"hi{i}"), F.lit(q3)).alias("whisker_high"),
-                F.col(f"out{i}").alias("outliers"),
-            )
+            f"named_struct('feature', '{c}', 'q1', {q1!r}D, 'median', {median!r}D, 'q3', {q3!r}D,"
+            f" 'whisker_low', least(lo{i}, {q1!r}D), 'whisker_high', greatest(hi{i}, {q3!r}D), 'outliers', out{i})"
         )
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    return df.selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def correlation_matrix(df: DataFrame, features: Sequence[str] = S.PROFILE_FEATURES) -> DataFrame:
@@ -122,7 +118,7 @@ def correlation_matrix(df: DataFrame, features: Sequence[str] = S.PROFILE_FEATUR
     """
     features = list(features)
     spark = df.sparkSession
-    gaps = df.agg(*[F.count_if(F.col(c).isNull() | F.isnan(c)).alias(c) for c in features]).first()
+    gaps = df.selectExpr(*[f"count_if(`{c}` is null or isnan(`{c}`)) as `{c}`" for c in features]).first()
     if any(gaps):
         return _pairwise_correlation(df, features)
     vectors = assembler(features).transform(df.select(*features))

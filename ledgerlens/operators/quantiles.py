@@ -26,10 +26,9 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of each feature, missing values left out."""
     features, spark = list(features), df.sparkSession
-    stats = df.agg(
-        *[F.count(c).alias(f"n_{c}") for c in features],
-        *[F.min(F.col(c).cast("double")).alias(f"lo_{c}") for c in features],
-        *[F.max(F.col(c).cast("double")).alias(f"hi_{c}") for c in features],
+    values = df.selectExpr(*[f"cast(`{c}` as double) as `{c}`" for c in features])
+    stats = values.selectExpr(
+        *[f"{fn}(`{c}`) as `{name}_{c}`" for c in features for name, fn in (("n", "count"), ("lo", "min"), ("hi", "max"))]
     ).first()
 
     # Rank of the lower neighbour of each quantile, and of the upper one.
@@ -57,13 +56,7 @@ def exact_quantiles(
         )
         grid = local_table(spark, bracket, brackets)
         names = sorted({c for c, _, _ in brackets})
-        long = df.select(
-            F.inline(
-                F.array(
-                    *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in names]
-                )
-            )
-        )
+        long = values.unpivot([], names, "feature", "v")
         slice_ = F.least(
             F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * _SLICES), F.lit(_SLICES - 1)
         )
