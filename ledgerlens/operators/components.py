@@ -14,7 +14,7 @@ from ledgerlens.sources import Scratch
 
 
 # Links that one task contracts at a time.
-_CHUNK = 500_000
+_CHUNK = 2_000_000
 
 
 def connected_components(edges: DataFrame, scratch: Scratch, chunk: int = _CHUNK) -> DataFrame:

@@ -37,11 +37,26 @@ class Scratch:
 
     def drop(self, df: DataFrame) -> None:
         """Remove a table of this scratch that no later plan reads."""
-        jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
-        for file in df.inputFiles()[:1]:
-            folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
-            if "/ledgerlens-" in folder.toString():
-                folder.getFileSystem(conf).delete(folder, True)
+        for folder in self._folders(df):
+            self._files(folder).delete(folder, True)
+
+    def clear(self, keep: DataFrame | None = None) -> None:
+        """Remove all tables of this scratch but the one that the result still reads."""
+        kept = {folder.getName() for folder in self._folders(keep)} if keep is not None else set()
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        for entry in self._files(root).listStatus(root):
+            if entry.getPath().getName() not in kept:
+                self._files(root).delete(entry.getPath(), True)
+
+    def _folders(self, df: DataFrame) -> list:
+        """The folder of the table, if it is one of this scratch."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        folders = [path(file).getParent() for file in df.inputFiles()[:1]]
+        own = self.root.rsplit("/", 1)[-1]
+        return [f for f in folders if f.getParent().getName() == own]
+
+    def _files(self, folder):
+        return folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
 
 
 def _checkpoint_dir(spark: SparkSession) -> str:

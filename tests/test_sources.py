@@ -53,3 +53,11 @@ def test_scratch_lives_in_the_checkpoint_folder(spark):
     assert table.count() == 3
     scratch.drop(table)
     assert not spark._jvm.java.io.File(f"{scratch.root}/0001-t").exists()
+
+
+def test_clear_keeps_what_the_result_reads(spark):
+    scratch = Scratch(spark, "test")
+    first, second = scratch.write(spark.range(3), "a"), scratch.write(spark.range(5), "b")
+    scratch.clear(keep=second)
+    assert second.count() == 5
+    assert not spark._jvm.java.io.File(f"{scratch.root}/0001-a").exists()
