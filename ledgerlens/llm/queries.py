@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import tokens
+from ledgerlens.llm import near_copies, tokens
 from ledgerlens.sources import Scratch
 
 
@@ -28,8 +28,14 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_token_shards(spark, files).drop("shard")
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the component of near copies that each belongs to."""
+    return near_copies.near_copies(table(spark, sf_dir, "documents"), Scratch(spark, "near-copies"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
 }
 
 # SQL that gives a query's rows, where SQL can express them.
