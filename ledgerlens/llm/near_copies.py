@@ -8,7 +8,7 @@ share a bucket.
 
 Inside a bucket, candidates form stars: the first class is compared with all
 others, not everyone with everyone. Then buckets whose members are not yet
-known to be connected get further centres, twice as many each round, until the
+known to be connected get further centres, four times as many each round, until the
 members of each bucket are connected or every unconnected pair has been
 compared. So no link is lost that a bucket shows, and a bucket of n connected
 classes costs about n comparisons. Links are confirmed on full sets.
@@ -23,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.words import SHINGLE, mixed, shingle_sets
@@ -31,6 +31,7 @@ from ledgerlens.operators.components import connected_components
 from ledgerlens.sources import Scratch
 
 
+
 @dataclass(frozen=True)
 class Banding:
     """`bands` runs of `rows` bins. The defaults miss a pair of similarity 0.85 about 6 times in 10^9."""
@@ -124,7 +125,7 @@ def near_copies(
         ),
         "classes",
     )
-    members = scratch.write(_members(classes), "members")
+    shared = scratch.write(_shared(classes), "shared")
 
     def shingles_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,10 +136,11 @@ def near_copies(
             )
 
     # Sets of classes that have a candidate, one document for each class.
-    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select(F.col("first").alias("doc_id"))
+    wanted = classes.join(shared.select("node").distinct(), "node", "left_semi").select(F.col("first").alias("doc_id"))
     sets = source.join(wanted, "doc_id", "left_semi").mapInArrow(shingles_of, "node long, shingles array<long>")
     sets = scratch.write(sets.dropDuplicates(["node"]), "sets")
 
+    members = scratch.write(_members(shared, sets, percent), "members")
     roots = _links(members, sets, percent, scratch)
     named = classes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = scratch.write(named, "named")
@@ -153,55 +155,91 @@ def _node(hashes: np.ndarray) -> int | None:
     return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63) if len(hashes) else None
 
 
-def _members(classes: DataFrame) -> DataFrame:
-    """(key, node, size, first, first_size): members of the buckets that hold more than one class, with the first of them."""
+def _shared(classes: DataFrame) -> DataFrame:
+    """(key, node, size, n) of the buckets that hold more than one class."""
     dealt = classes.select("node", "size", F.explode("keys").alias("key"))
-    own = F.struct("node", "size")
-    buckets = dealt.groupBy("key").agg(F.count("*").alias("n"), F.min(own).alias("low")).filter("n > 1")
-    return dealt.join(
-        buckets.select("key", F.col("low.node").alias("first"), F.col("low.size").alias("first_size")), "key"
+    return dealt.join(dealt.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key")
+
+
+def _members(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(key, node, size, common, weight) of the classes that may have a link in a bucket.
+
+    `common` counts the shingles of a class that some other candidate has too, so
+    no intersection is larger; a class whose own shingles rule out a link with
+    anything as large as its bucket's smallest falls away. `weight` counts the
+    company a class has in its buckets: the original of a group of copies, which
+    is closest to all of them, has most of it.
+    """
+    owners = sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
+    owners = owners.agg(F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1")
+    own = owners.groupBy("node").agg(F.count("*").alias("own"))
+    weights = shared.groupBy("node").agg(F.sum("n").alias("weight"), F.max("size").alias("size"))
+    nodes = weights.join(own, "node", "left").select(
+        "node", "size", "weight", (F.col("size") - F.coalesce("own", F.lit(0))).alias("common")
     )
+    found = shared.select("key", "node").join(nodes.filter(100 * F.col("common") >= percent * F.col("size")), "node")
+    smallest = found.groupBy("key").agg(F.min("size").alias("smallest"), F.count("*").alias("n")).filter("n > 1")
+    bound = F.col("size") + F.greatest("smallest", "common") - F.col("common")
+    return found.join(smallest.drop("n"), "key").filter(100 * F.col("common") >= percent * bound).drop("smallest")
+
+
+def _possible(percent: int, size: str, common: str, other_size: str, other_common: str) -> Column:
+    """Whether two classes of these sizes can be similar enough, before their sets are compared."""
+    most = F.least(common, other_common)
+    return 100 * most >= percent * (F.col(size) + F.col(other_size) - most)
 
 
 def _links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """(node, root) of the classes that have a link; see the module's text for the rounds."""
-    pairs = _pairs(members.select("node", "size", F.col("first").alias("other"), F.col("first_size").alias("other_size")))
-    compared = scratch.write(_confirmed(pairs, sets, percent), "compared")
-    roots = scratch.write(_roots(compared, scratch), "roots")
-    # The first of a bucket has met all others and leaves it.
-    left = members.filter("node <> first").select("key", "node", "size")
-    centres = 1
+    left = members.select("key", "node", "size", "common", "weight")
+    roots, compared, centres = None, None, 1
     while True:
-        placed = left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        groups = placed.groupBy("key", "root").agg(F.count("*").alias("n"), F.min("node").alias("low"))
+        if roots is None:
+            placed = left.withColumn("root", F.col("node"))
+        else:
+            placed = left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        own = F.struct("weight", "node")
+        groups = placed.groupBy("key", "root").agg(F.count("*").alias("n"), F.max(own).alias("best"))
+        largest = F.max(F.struct("n", "root"))
         open_ = groups.groupBy("key").agg(
             F.count("*").alias("groups"),
-            F.max(F.struct("n", "root")).alias("largest"),
-            F.sum("n").alias("all"),
-            F.min(F.struct("n", "low")).alias("smallest"),
+            largest["root"].alias("main"),
+            (F.sum("n") - largest["n"]).alias("others"),
+            F.max("best").alias("best"),
         ).filter("groups > 1")
-        open_ = open_.select(
-            "key", F.col("largest.root").alias("main"), F.col("smallest.low").alias("low"), (F.col("all") - F.col("largest.n")).alias("others")
-        )
-        # Centres come from outside the bucket's largest group; one at least, so that each round gets on.
-        chance = F.pmod(F.xxhash64("key", "node", F.lit(centres)), F.lit(1 << 30)) / F.lit(1 << 30)
-        centre = (F.col("node") == F.col("low")) | (
-            (F.col("root") != F.col("main")) & (chance < F.lit(centres) / F.col("others"))
-        )
-        placed = scratch.write(placed.join(open_, "key").withColumn("centre", centre).drop("main", "low", "others"), "open")
+        # Centres come from outside the bucket's largest group; the best of them always, so that each round gets on.
+        # The others are chosen alike in all buckets, which repeats fewer comparisons.
+        chance = F.pmod(F.xxhash64("node", F.lit(centres)), F.lit(1 << 30)) / F.lit(1 << 30)
+        placed = placed.join(open_.drop("groups"), "key")
+        outside = F.col("root") != F.col("main")
+        first = F.col("node") == F.col("best.node")
+        centre = first | (outside & (chance < F.lit(centres - 1) / F.col("others")))
+        placed = scratch.write(placed.select("key", "node", "size", "common", "weight", "root", centre.alias("centre")), "open")
         if placed.isEmpty():
-            return roots
+            return roots if roots is not None else scratch.write(_roots_of_none(placed), "roots")
         chosen = placed.filter("centre").select(
-            "key", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("root").alias("other_root")
+            "key",
+            F.col("node").alias("other"),
+            F.col("size").alias("other_size"),
+            F.col("common").alias("other_common"),
+            F.col("root").alias("other_root"),
         )
         met = placed.join(chosen, "key").filter("root <> other_root")
-        new = _pairs(met.select("node", "size", "other", "other_size")).join(compared, ["a", "b"], "left_anti")
+        met = met.filter(_possible(percent, "size", "common", "other_size", "other_common"))
+        new = _pairs(met.select("node", "size", "other", "other_size"))
+        if compared is not None:
+            new = new.join(compared, ["a", "b"], "left_anti")
         fresh = scratch.write(_confirmed(new, sets, percent), "compared")
-        compared = compared.unionByName(fresh)
-        if not fresh.filter("linked").isEmpty():
+        compared = fresh if compared is None else compared.unionByName(fresh)
+        if roots is None or not fresh.filter("linked").isEmpty():
             roots = scratch.write(_roots(compared, scratch), "roots")
-        left = placed.filter("NOT centre").select("key", "node", "size")
-        centres *= 2
+        # A centre has met all others of its bucket and leaves it.
+        left = placed.filter("NOT centre").select("key", "node", "size", "common", "weight")
+        centres *= 4
+
+
+def _roots_of_none(placed: DataFrame) -> DataFrame:
+    return placed.select("node", "root").limit(0)
 
 
 def _pairs(found: DataFrame) -> DataFrame:
@@ -220,16 +258,12 @@ def _pairs(found: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked), compared on full sets; sizes that rule a link out need no sets."""
-    low, high = F.least("a_size", "b_size"), F.greatest("a_size", "b_size")
-    possible = 100 * low >= percent * high
-    near = pairs.filter(possible)
-    near = near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("a_set")), "a")
+    """(a, b, linked), compared on full sets."""
+    near = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("a_set")), "a")
     near = near.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("b_set")), "b")
     shared = F.size(F.array_intersect("a_set", "b_set"))
     linked = 100 * shared >= percent * (F.col("a_size") + F.col("b_size") - shared)
-    far = pairs.filter(~possible).select("a", "b", F.lit(False).alias("linked"))
-    return near.select("a", "b", linked.alias("linked")).unionByName(far)
+    return near.select("a", "b", linked.alias("linked"))
 
 
 def _roots(compared: DataFrame, scratch: Scratch) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlens.llm import near_copies, tokens
+from ledgerlens.llm import leaks, mixing, near_copies, quality, tokens
 from ledgerlens.sources import Scratch
 
 
@@ -28,6 +29,25 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_token_shards(spark, files).drop("shard")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their quality; those below one half are rejected."""
+    docs = table(spark, sf_dir, "documents")
+    scored, names = quality.quality(docs, table(spark, sf_dir, "labels"), Scratch(spark, "quality"))
+    evidence, host, path, final = names
+    return scored.select("doc_id", "source", "lang", evidence, host, path, final, (F.col(final) >= 0.5).alias("kept"))
+
+
+def op4_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each reading of a document in the mixture of sources."""
+    mixed, names = mixing.mix(table(spark, sf_dir, "documents"), Scratch(spark, "mixing"))
+    return mixed.select("doc_id", "source", *names)
+
+
+def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in documents."""
+    return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the component of near copies that each belongs to."""
     return near_copies.near_copies(table(spark, sf_dir, "documents"), Scratch(spark, "near-copies"))
@@ -35,6 +55,9 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op4_temperature_mixing": op4_temperature_mixing,
+    "op5_benchmark_leaks": op5_benchmark_leaks,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
 }
 

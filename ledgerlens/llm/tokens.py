@@ -20,10 +20,12 @@ executors leave no half files in the result.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -40,14 +42,19 @@ MAGIC = b"TOKREC01"
 _HEAD, _SUM, _BODY = "<Q", "<I", "<qBB"
 # A shard file ends with the record that reaches this size.
 SHARD_BYTES = 32 << 20
-# Distinct pieces of text whose ids a worker keeps.
-_KEPT = 300_000
+# Pieces of text whose ids a worker keeps, in each of two generations.
+_KEPT = 250_000
+# Characters that are encoded at a time.
+_AT_ONCE = 1 << 20
 
 # Byte-level BPE never merges across the place where white space is followed by
-# other characters, but for one space before a word. So text falls into pieces
-# that encode alike alone and in place. The class is Unicode's White_Space.
+# other characters, but for one space before a word, nor between a run of letters
+# and the mark behind it. So text falls into pieces that encode alike alone and
+# in place. The white space is Unicode's; the letters are those of Latin scripts,
+# other runs stay whole.
 _S = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_PIECE = re.compile(f" ?[^{_S}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+_WORD = f" ?[A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u017f]+(?=[.,;:!?()|*$%&#\"]|[{_S}]|$)"
+_PIECE = re.compile(f"{_WORD}| ?[^{_S}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 
 
 def masked(checksum: int) -> int:
@@ -63,6 +70,8 @@ class Encoder:
     """
 
     def __init__(self, path: str, end_id: int | None, by_piece: bool = True):
+        # Tasks already run side by side; threads of the library's own would only compete with them.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
@@ -74,11 +83,23 @@ class Encoder:
         added = [re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._added = re.compile("|".join(added)) if added else None
         self._by_piece = by_piece
+        self._code = "H" if self.width == 2 else "I"
         self._ids: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as bytes, the end id behind them; null counts as empty."""
-        whole = [t or "" for t in texts]
+        out: list[bytes] = []
+        held, size = [], 0
+        for text in texts:
+            held.append(text or "")
+            size += len(held[-1])
+            if size >= _AT_ONCE:
+                out += self._some(held)
+                held, size = [], 0
+        return out + self._some(held)
+
+    def _some(self, whole: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(whole)
         direct = [i for i, t in enumerate(whole) if not self._by_piece or (self._added and self._added.search(t))]
         for i in direct:
@@ -86,8 +107,11 @@ class Encoder:
         rest = sorted(set(range(len(whole))) - set(direct))
         pieces = {i: _PIECE.findall(whole[i]) for i in rest}
         if len(self._ids) > _KEPT:
-            self._ids.clear()
-        new = list(set().union(*pieces.values()).difference(self._ids)) if pieces else []
+            self._older, self._ids = self._ids, {}
+        new = set().union(*pieces.values()).difference(self._ids)
+        known = new.intersection(self._older)
+        self._ids.update(zip(known, map(self._older.__getitem__, known)))
+        new = list(new.difference(known))
         self._ids.update(zip(new, self._encode(new)))
         for i in rest:
             out[i] = b"".join(map(self._ids.__getitem__, pieces[i])) + self._end
@@ -95,7 +119,7 @@ class Encoder:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, self._type).tobytes() for x in found]
+        return [array(self._code, x.ids).tobytes() for x in found]
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
