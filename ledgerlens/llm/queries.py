@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import leaks, mixing, near_copies, quality, tokens
+from ledgerlens.llm import language, leaks, mixing, near_copies, pages, passages, quality, tokens
 from ledgerlens.sources import Scratch
 
 
@@ -29,6 +29,11 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_token_shards(spark, files).drop("shard")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their quality; those below one half are rejected."""
     docs = table(spark, sf_dir, "documents")
@@ -53,12 +58,27 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_copies(table(spark, sf_dir, "documents"), Scratch(spark, "near-copies"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    may_train = F.col("doc_id").isNotNull() & ~language.held_out()
+    return language.predict(docs, language.train(docs, may_train))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the passages that an earlier one holds."""
+    return passages.without_repeats(table(spark, sf_dir, "documents"), Scratch(spark, "passages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
+    "op2_html_extraction": op2_html_extraction,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_temperature_mixing": op4_temperature_mixing,
     "op5_benchmark_leaks": op5_benchmark_leaks,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_language_id": op8_language_id,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
 # SQL that gives a query's rows, where SQL can express them.
