@@ -1,7 +1,7 @@
-"""Passages that repeat across documents, found by hashing lines and their sentences.
+"""Passages that repeat across documents, found by hashing lines and their parts.
 
 A text falls into units: its lines, and inside a line the stretches that end
-with a full stop, an exclamation or a question mark. Units are normalised
+with a mark (. ! ? , ;) before white space. Units are normalised
 (lower case, one space for white space) and hashed to 128 bits. Digests are
 grouped over all documents; the document of the smallest id keeps a unit, and
 inside it the first place. Everywhere else the unit is a repeat.
@@ -26,7 +26,7 @@ from ledgerlens.sources import Scratch
 
 LEAST_WORDS = 20
 _PROOF = 3
-_UNIT = re.compile(r"[^\n.!?]+(?:[.!?]+(?![\s])[^\n.!?]+)*[.!?]*|[.!?]+")
+_UNIT = re.compile(r"[^\n.!?,;]+(?:[.!?,;]+(?!\s)[^\n.!?,;]+)*[.!?,;]*|[.!?,;]+")
 _LAST = (1 << 63) - 1
 
 

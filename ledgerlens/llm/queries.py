@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import language, leaks, mixing, near_copies, pages, passages, quality, tokens
+from ledgerlens.llm import language, leaks, licences, mixing, near_copies, pages, passages, quality, tokens, vectors
 from ledgerlens.sources import Scratch
 
 
@@ -53,6 +53,11 @@ def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors with the number of their links and their component."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"), Scratch(spark, "vectors"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the component of near copies that each belongs to."""
     return near_copies.near_copies(table(spark, sf_dir, "documents"), Scratch(spark, "near-copies"))
@@ -70,15 +75,22 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.without_repeats(table(spark, sf_dir, "documents"), Scratch(spark, "passages"))
 
 
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs that put a document under a licence."""
+    return licences.licences(table(spark, sf_dir, "documents"), Scratch(spark, "licences"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op2_html_extraction": op2_html_extraction,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_temperature_mixing": op4_temperature_mixing,
     "op5_benchmark_leaks": op5_benchmark_leaks,
+    "op6_nn_descent": op6_nn_descent,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_licence_scan": op10_licence_scan,
 }
 
 # SQL that gives a query's rows, where SQL can express them.
