@@ -27,7 +27,9 @@ from ledgerlens.sources import Scratch
 UNKNOWN = "unknown"
 # Paragraphs of the corpus that the unknown class is learned from, at most: those of the smallest hashes.
 SAMPLE = 4000
-_HASHED = 1 << 16
+_HASHED = 1 << 12
+# What a variant of a template weighs against a paragraph of the corpus, of which there are many more.
+_WEIGHT = 10.0
 _SHINGLE = 3
 
 # Notices by which works are put under a licence.
@@ -162,7 +164,9 @@ def _fit(lines: DataFrame, scratch: Scratch, sample: int) -> tuple[PipelineModel
     other = lines.select("text").orderBy(F.xxhash64("text"), "text").limit(sample)
     other = _words().transform(other).filter(F.size(F.array_intersect(_shingles("l_words"), own)) == 0)
     other = other.select(F.lit(0.0).alias("label"), "text", (F.pmod(F.xxhash64("text", F.lit(1)), F.lit(5)) == 4).alias("held"))
-    rows = scratch.write(other.unionByName(_variants(spark, families)), "training")
+    rows = other.unionByName(_variants(spark, families))
+    rows = rows.withColumn("weight", F.when(F.col("label") == 0, 1.0).otherwise(_WEIGHT))
+    rows = scratch.write(rows.coalesce(4), "training")
     stages = [_words()]
     for n in range(1, _SHINGLE + 1):
         stages += [
@@ -172,8 +176,8 @@ def _fit(lines: DataFrame, scratch: Scratch, sample: int) -> tuple[PipelineModel
     stages.append(VectorAssembler(inputCols=[f"l_hashed_{n}" for n in range(1, _SHINGLE + 1)], outputCol="l_all"))
     stages.append(
         LogisticRegression(
-            featuresCol="l_all", labelCol="label", rawPredictionCol="l_raw", probabilityCol="", predictionCol="",
-            family="multinomial", regParam=1e-3, standardization=False, maxIter=40,
+            featuresCol="l_all", labelCol="label", weightCol="weight", rawPredictionCol="l_raw", probabilityCol="", predictionCol="",
+            family="multinomial", regParam=1e-4, standardization=False, maxIter=40,
         )
     )
     model = Pipeline(stages=stages).fit(rows.filter("NOT held"))
