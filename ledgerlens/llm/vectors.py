@@ -4,12 +4,15 @@ Equal vectors of a label form a class; classes are the nodes of a neighbour
 graph that keeps for each its nearest others. The graph starts from stretches
 of vectors that are neighbours in orders by random hyperplanes. Then it is
 refined: around each node, the nodes it lists and those that list it are
-compared with each other, and better neighbours enter the lists, until hardly
-any does. A list whose last entry is still above the threshold is saturated:
-it may hide further links, so it is doubled and the search goes on. An audit
-compares a fixed number of nodes with all others; if it finds too few of their
-links, lists grow and new orders are tried. Entries of the lists above the
-threshold, confirmed in double precision, are the links.
+compared with each other, and better neighbours enter the lists, until no round
+brings new links. An audit compares a fixed number of nodes with all others; if
+it finds too few of their links, lists grow and new orders are tried. Entries
+of the lists above the threshold, confirmed in double precision, are the links.
+
+A list whose last entry is still above the threshold is saturated: it may hide
+further links. The lists of its component are enlarged to the whole component,
+in blocks of bounded size that leave counts of links instead of pairs, so a
+crowd of vectors that are all alike costs comparisons but no rows.
 """
 
 from __future__ import annotations
@@ -35,7 +38,11 @@ _BITS = 40
 # Single precision serves the search; what it may be off by.
 _SLACK = 1e-5
 _AUDITED = 200
-_LISTS = "node long, k int, near array<struct<sim: double, other: bigint>>"
+_ROUNDS = 8
+# Vectors of a crowd that are compared with as many others at a time, about.
+_BLOCK = 1024
+# Stands for the similarity of pairs that links join, though they may not be linked themselves.
+_JOINED = 9.0
 
 
 def near_vectors(
@@ -68,18 +75,23 @@ def near_vectors(
         F.min("vec_id").alias("first"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("unit").alias("unit")
     )
     nodes = scratch.write(nodes, "nodes")
-    links = _search(nodes, scratch, threshold, neighbours, orders, least_recall)
+    links, bridges, saturated = _search(nodes, scratch, threshold, neighbours, orders, least_recall)
+    joined = links.unionByName(bridges)
+    roots = scratch.write(connected_components(joined, scratch), "roots")
+    named = nodes.select("node", "first", "n").join(roots, "node", "left")
+    named = scratch.write(named.withColumn("root", F.coalesce("component", "node")).drop("component"), "named")
+    crowds = named.join(saturated, "node", "left_semi").select("root").distinct()
+    crowded = named.join(crowds, "root", "left_semi").join(nodes.select("node", "unit"), "node")
+    inside = _crowd_links(crowded, scratch, threshold)
     counted = links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
         links.select(F.col("b").alias("node"), F.col("a").alias("other"))
     )
     sizes = nodes.select(F.col("node").alias("other"), F.col("n").alias("copies"))
-    outer = counted.join(sizes, "other").groupBy("node").agg(F.sum("copies").alias("outer"))
-    roots = scratch.write(connected_components(links, scratch), "roots")
-    named = nodes.select("node", "first", "n").join(roots, "node", "left")
-    named = scratch.write(named.withColumn("root", F.coalesce("component", "node")).drop("component"), "named")
+    listed = counted.join(sizes, "other").groupBy("node").agg(F.sum("copies").alias("listed"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    facts = named.join(smallest, "root").join(outer, "node", "left")
-    facts = facts.select("node", (F.col("n") - 1 + F.coalesce("outer", F.lit(0))).alias("n_links"), "component_id")
+    facts = named.join(smallest, "root").join(listed, "node", "left").join(inside, "node", "left")
+    outer = F.coalesce("inside", "listed", F.lit(0))
+    facts = facts.select("node", (F.col("n") - 1 + outer).alias("n_links"), "component_id")
     found = rows.select("vec_id", "node").join(scratch.write(facts, "facts"), "node", "left")
     own = F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id"))
     return found.select(
@@ -113,41 +125,83 @@ def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _search(nodes, scratch, threshold, neighbours, orders, least_recall) -> DataFrame:
-    """(a, b) of linked nodes, a < b."""
+def _search(nodes, scratch, threshold, neighbours, orders, least_recall) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(a, b) of links between nodes, further pairs that links join, and the nodes whose lists are saturated."""
     small = scratch.write(nodes.select("node", "label", F.col("unit").cast("array<float>").alias("unit")), "single")
-    lists = scratch.write(_first_lists(small, neighbours, orders, 0), "lists")
-    total, turn = nodes.count(), 1
-    floor = threshold - _SLACK
+    floor, turn = threshold - _SLACK, 0
+    lists, bridges = _first_lists(small, scratch, neighbours, orders, 0, threshold)
     while True:
-        for _ in range(12):
-            lists, changed = _refined(lists, small, scratch, turn, floor)
+        for _ in range(_ROUNDS):
             turn += 1
-            if changed <= 0.002 * neighbours * total:
+            lists, new = _refined(lists, small, scratch, turn, floor)
+            if not new and turn > 1:
                 break
-        full = F.size("near") == F.col("k")
-        saturated = full & (F.element_at("near", -1)["sim"] >= floor)
-        if not lists.filter(saturated).isEmpty():
-            lists = scratch.write(lists.withColumn("k", F.when(saturated, 2 * F.col("k")).otherwise(F.col("k"))), "longer")
-            continue
         links = scratch.write(_confirmed(lists, nodes, threshold, floor), "links")
-        if _recall(links, nodes, threshold) >= least_recall:
-            return links
+        saturated = lists.filter(_saturated(floor)).select("node")
+        if _recall(links, nodes, saturated, threshold) >= least_recall:
+            return links, bridges, saturated
         # The audit missed links: longer lists and orders not tried yet.
         neighbours *= 2
-        more = _first_lists(small, neighbours, orders, turn * orders)
-        merged = _merged(lists.select("node", F.explode("near").alias("e")).unionByName(more.select("node", F.explode("near").alias("e"))), F.lit(neighbours))
-        lists = scratch.write(merged, "lists")
-
-
-def _merged(entries: DataFrame, k: Column) -> DataFrame:
+        more, joined = _first_lists(small, scratch, neighbours, orders, turn, threshold)
+        bridges = bridges.unionByName(joined)
+        both = lists.select("node", F.explode("near").alias("e")).unionByName(more.select("node", F.explode("near").alias("e")))
+        lists = scratch.write(_merged(both, neighbours), "lists")
+
+
+def _saturated(floor: float) -> Column:
+    return (F.size("near") >= F.col("k")) & (F.element_at("near", -1)["sim"] >= floor)
+
+
+def _crowd_links(crowded: DataFrame, scratch: Scratch, threshold: float) -> DataFrame:
+    """(node, inside): copies of other nodes that a node of a crowd links with, counted block by block."""
+    sizes = crowded.groupBy("root").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks"))
+    dealt = crowded.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    group = F.xxhash64("root", F.least("own", "with"), F.greatest("own", "with"))
+    dealt = dealt.select(group.alias("group"), "node", "n", "own", "unit").repartition("group").sortWithinPartitions("group", "own")
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches, ("node", "n", "own", "unit")):
+            nodes, copies, own = (np.array([r[c] for r in rows]) for c in range(3))
+            units = np.stack([r[3] for r in rows])
+            split = np.searchsorted(own, own[-1])
+            # A block against itself, or the lower block of two against the upper one.
+            parts = [(slice(None), slice(None))] if split == 0 else [(slice(0, split), slice(split, None)), (slice(split, None), slice(0, split))]
+            for a, b in parts:
+                linked = (units[a] @ units[b].T >= threshold) & (nodes[a][:, None] != nodes[b][None, :])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[a]), pa.array(linked @ copies[b])], names=["node", "inside"])
+
+    found = dealt.mapInArrow(count, "node long, inside long")
+    return scratch.write(found.groupBy("node").agg(F.sum("inside").alias("inside")), "inside")
+
+
+def _groups(batches: Iterable[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[list[tuple]]:
+    """The rows of each group of rows that are ordered by group."""
+    held: list[tuple] = []
+    group = None
+    for batch in batches:
+        groups = np.asarray(batch["group"])
+        columns = [batch[c] if c == "unit" else np.asarray(batch[c]) for c in names]
+        for i in range(len(groups)):
+            if held and groups[i] != group:
+                yield held
+                held = []
+            group = groups[i]
+            held.append(tuple(c[i].values.to_numpy() if n == "unit" else c[i] for n, c in zip(names, columns)))
+    if held:
+        yield held
+
+
+def _merged(entries: DataFrame, k: int) -> DataFrame:
     """The k nearest different others of each node; entries have node and e (sim, other)."""
-    best = entries.groupBy("node").agg(F.slice(F.sort_array(F.collect_set("e"), asc=False), 1, 1 << 30).alias("all"))
-    return best.select("node", k.cast("int").alias("k"), F.slice("all", F.lit(1), k).alias("near"))
+    best = entries.groupBy("node").agg(F.sort_array(F.collect_set("e"), asc=False).alias("all"))
+    return best.select("node", F.lit(k).alias("k"), F.slice("all", 1, k).alias("near"))
 
 
-def _first_lists(small: DataFrame, neighbours: int, orders: int, seed: int) -> DataFrame:
-    """Neighbour lists from stretches of vectors in orders by random hyperplanes."""
+def _first_lists(
+    small: DataFrame, scratch: Scratch, neighbours: int, orders: int, seed: int, threshold: float
+) -> tuple[DataFrame, DataFrame]:
+    """Neighbour lists from stretches of vectors in orders by random hyperplanes, and pairs that links join in them."""
 
     def coded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
@@ -166,12 +220,16 @@ def _first_lists(small: DataFrame, neighbours: int, orders: int, seed: int) -> D
     keys = ["label", "turn", "code", "node"]
     ordered = codes.repartitionByRange(*keys).sortWithinPartitions(*keys)
     near = ordered.select(F.xxhash64("label", "turn").alias("group"), "node", F.lit(neighbours).alias("k"), "unit")
-    found = near.mapInArrow(_compare(_STRETCH, _STEP), "node long, sim double, other long")
-    return _merged(found.select("node", F.struct("sim", "other").alias("e")), F.lit(neighbours))
+    compare = _compare(_STRETCH, _STEP, threshold + _SLACK)
+    found = scratch.write(near.mapInArrow(compare, "node long, sim double, other long"), "found")
+    entries = found.filter(F.col("sim") < _JOINED).select("node", F.struct("sim", "other").alias("e"))
+    bridges = found.filter(F.col("sim") == _JOINED)
+    bridges = bridges.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    return scratch.write(_merged(entries, neighbours), "lists"), scratch.write(bridges, "bridges")
 
 
 def _refined(lists: DataFrame, small: DataFrame, scratch: Scratch, turn: int, floor: float) -> tuple[DataFrame, int]:
-    """One round of comparisons around each node, and how many entries of the lists it changed."""
+    """One round of comparisons around each node, and how many links it brought to lists that weren't saturated."""
     edges = lists.select("node", F.explode("near.other").alias("other"))
     around = edges.select(F.col("node").alias("centre"), F.col("other").alias("node")).unionByName(
         edges.select(F.col("other").alias("centre"), "node")
@@ -195,18 +253,20 @@ def _refined(lists: DataFrame, small: DataFrame, scratch: Scratch, turn: int, fl
         found.select("node", F.struct("sim", "other").alias("e"))
     )
     best = entries.groupBy("node").agg(F.sort_array(F.collect_set("e"), asc=False).alias("all"))
-    joined = best.join(lists.select("node", "k", F.col("near").alias("before")), "node")
-    merged = joined.select(
-        "node", "k", F.slice("all", F.lit(1), F.col("k")).alias("near"), "before"
-    ).withColumn("new", F.size(F.array_except("near.other", "before.other")))
-    merged = scratch.write(merged.drop("before"), "refined")
+    before = lists.select("node", "k", F.size(F.filter("near", lambda e: e["sim"] >= floor)).alias("before"), _saturated(floor).alias("full"))
+    merged = best.join(before, "node").withColumn("near", F.slice("all", F.lit(1), F.col("k")))
+    after = F.size(F.filter("near", lambda e: e["sim"] >= floor))
+    new = F.when(F.col("full"), 0).otherwise(after - F.col("before"))
+    merged = scratch.write(merged.select("node", "k", "near", new.alias("new")), "refined")
     return merged.drop("new"), merged.agg(F.sum("new")).first()[0] or 0
 
 
-def _compare(stretch: int, step: int) -> Callable:
+def _compare(stretch: int, step: int, joined: float | None = None) -> Callable:
     """A function over rows ordered by group: compares rows of a group within stretches of it.
 
     Each row gets its k nearest others of a stretch, of those above its `last`.
+    With `joined`, it also gets the first row of the stretch that it reaches by
+    similarities of at least that, marked by the similarity _JOINED.
     """
 
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -244,6 +304,10 @@ def _compare(stretch: int, step: int) -> Callable:
                 rows_, columns_ = np.nonzero((value > lasts[:, None]) & (value > -2))
                 out.append((nodes[rows_], np.round(value[rows_, columns_], 7), nodes[best[rows_, columns_]]))
                 size += len(rows_)
+                if joined is not None and (sims >= joined).any():
+                    at = _reached(sims >= joined)
+                    moved = np.flatnonzero(at != np.arange(len(at)))
+                    out.append((nodes[moved], np.full(len(moved), _JOINED), nodes[at[moved]]))
             if size > 100_000:
                 yield _flat(out)
                 out, size = [], 0
@@ -253,6 +317,18 @@ def _compare(stretch: int, step: int) -> Callable:
     return compare
 
 
+def _reached(linked: np.ndarray) -> np.ndarray:
+    """For each row, the first row that it reaches."""
+    at = np.arange(len(linked))
+    while True:
+        lowest = np.where(linked, at[None, :], len(at)).min(axis=1)
+        after = np.minimum(at, lowest)
+        after = np.minimum(after, after[after])
+        if (after == at).all():
+            return at
+        at = after
+
+
 def _flat(out: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     node, sim, other = (np.concatenate(x) for x in zip(*out))
     return pa.RecordBatch.from_arrays([pa.array(node), pa.array(sim), pa.array(other)], names=["node", "sim", "other"])
@@ -271,9 +347,12 @@ def _confirmed(lists: DataFrame, nodes: DataFrame, threshold: float, floor: floa
     return pairs.filter(_cosine() >= threshold).select("a", "b")
 
 
-def _recall(links: DataFrame, nodes: DataFrame, threshold: float) -> float:
-    """Of the links of a fixed number of nodes, found by comparing these with all nodes, the part that is known."""
-    audited = nodes.select("node", "label", "unit").orderBy(F.xxhash64("node")).limit(_AUDITED).toArrow().to_pylist()
+def _recall(links: DataFrame, nodes: DataFrame, saturated: DataFrame, threshold: float) -> float:
+    """Of the links of a fixed number of nodes, found by comparing these with all nodes, the part that is known.
+
+    Nodes with saturated lists are compared with their whole components later, and aren't audited.
+    """
+    audited = nodes.select("node", "label", "unit").join(saturated, "node", "left_anti").orderBy(F.xxhash64("node")).limit(_AUDITED).toArrow().to_pylist()
     sent = nodes.sparkSession.sparkContext.broadcast(audited)
 
     def against(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
