@@ -8,7 +8,7 @@ share a bucket.
 
 Inside a bucket, candidates form stars: the first class is compared with all
 others, not everyone with everyone. Then buckets whose members are not yet
-known to be connected get further centres, four times as many each round, until the
+known to be connected get further centres, three times as many each round, until the
 members of each bucket are connected or every unconnected pair has been
 compared. So no link is lost that a bucket shows, and a bucket of n connected
 classes costs about n comparisons. Links are confirmed on full sets.
@@ -141,6 +141,8 @@ def near_copies(
     sets = scratch.write(sets.dropDuplicates(["node"]), "sets")
 
     members = scratch.write(_members(shared, sets, percent), "members")
+    listed = members.groupBy("node").agg(F.collect_list("key").alias("keys"))
+    members = scratch.write(members.join(listed, "node"), "listed")
     roots = _links(members, sets, percent, scratch)
     named = classes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = scratch.write(named, "named")
@@ -191,7 +193,7 @@ def _possible(percent: int, size: str, common: str, other_size: str, other_commo
 
 def _links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """(node, root) of the classes that have a link; see the module's text for the rounds."""
-    left = members.select("key", "node", "size", "common", "weight")
+    left = members.select("key", "node", "size", "common", "weight", "keys")
     roots, compared, centres = None, None, 1
     while True:
         if roots is None:
@@ -214,7 +216,7 @@ def _links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch)
         outside = F.col("root") != F.col("main")
         first = F.col("node") == F.col("best.node")
         centre = first | (outside & (chance < F.lit(centres - 1) / F.col("others")))
-        placed = scratch.write(placed.select("key", "node", "size", "common", "weight", "root", centre.alias("centre")), "open")
+        placed = scratch.write(placed.select("key", "node", "size", "common", "weight", "keys", "root", centre.alias("centre")), "open")
         if placed.isEmpty():
             return roots if roots is not None else scratch.write(_roots_of_none(placed), "roots")
         chosen = placed.filter("centre").select(
@@ -222,20 +224,21 @@ def _links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch)
             F.col("node").alias("other"),
             F.col("size").alias("other_size"),
             F.col("common").alias("other_common"),
+            F.col("keys").alias("other_keys"),
             F.col("root").alias("other_root"),
         )
         met = placed.join(chosen, "key").filter("root <> other_root")
         met = met.filter(_possible(percent, "size", "common", "other_size", "other_common"))
+        # Two classes that share several buckets are compared in the one of the smallest key only.
+        met = met.filter(F.col("key") == F.array_min(F.array_intersect("keys", "other_keys")))
         new = _pairs(met.select("node", "size", "other", "other_size"))
-        if compared is not None:
-            new = new.join(compared, ["a", "b"], "left_anti")
         fresh = scratch.write(_confirmed(new, sets, percent), "compared")
         compared = fresh if compared is None else compared.unionByName(fresh)
         if roots is None or not fresh.filter("linked").isEmpty():
             roots = scratch.write(_roots(compared, scratch), "roots")
         # A centre has met all others of its bucket and leaves it.
-        left = placed.filter("NOT centre").select("key", "node", "size", "common", "weight")
-        centres *= 4
+        left = placed.filter("NOT centre").select("key", "node", "size", "common", "weight", "keys")
+        centres *= 3
 
 
 def _roots_of_none(placed: DataFrame) -> DataFrame:
