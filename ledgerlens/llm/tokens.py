@@ -43,7 +43,7 @@ _HEAD, _SUM, _BODY = "<Q", "<I", "<qBB"
 # A shard file ends with the record that reaches this size.
 SHARD_BYTES = 32 << 20
 # Pieces of text whose ids a worker keeps, in each of two generations.
-_KEPT = 250_000
+_KEPT = 700_000
 # Characters that are encoded at a time.
 _AT_ONCE = 1 << 20
 
@@ -191,7 +191,7 @@ def write_token_shards(
     root = scratch.path("shards")
     _storage(root)[0].create_dir(_storage(root)[1], recursive=True)
     ordered = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    ordered = ordered.repartitionByRange("id", "text").sortWithinPartitions("id", "text")
+    ordered = ordered.repartitionByRange("id").sortWithinPartitions("id", "text")
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = encoder(tokenizer, end_id, by_piece), TaskContext.get().partitionId()
