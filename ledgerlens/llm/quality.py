@@ -27,8 +27,7 @@ from ledgerlens.sources import Scratch
 # Labelled documents that the classifier is fitted on, at most: those of the smallest hashes.
 SAMPLE = 6000
 _HASHED = 1 << 14
-_STYLE = ["style_upper", "style_mark", "style_digit", "style_bar", "style_distinct", "style_long", "style_size"]
-_STYLE += ["style_bang", "style_again"]
+_STYLE = ["style_upper", "style_mark", "style_distinct", "style_long", "style_size"]
 
 
 @dataclass
@@ -126,25 +125,19 @@ def _scored(docs: DataFrame, text: Column, model: PipelineModel | None, trained:
 
 def _styled(rows: DataFrame, text: Column) -> DataFrame:
     """Measures of style, about 0 to 1 each."""
+    rows = rows.withColumn("style_parts", F.split(text, r"\s+"))
     size = F.greatest(F.length(text), F.lit(1)).cast("double")
-    n = F.greatest(F.regexp_count(text, F.lit(WORD)), F.lit(1)).cast("double")
-
-    def share(pattern: str) -> Column:
-        return F.regexp_count(text, F.lit(pattern)) / size
-
-    return rows.withColumns(
+    n = F.size("style_parts").cast("double")
+    styled = rows.withColumns(
         {
-            "style_upper": share(r"\p{Lu}"),
-            "style_mark": F.least(8 * share(r"[^\p{L}\p{N}\s.,]"), F.lit(2.0)),
-            "style_digit": 4 * share(r"\p{Nd}"),
-            "style_bar": F.least(F.regexp_count(text, F.lit(r"\|")) / n * 2, F.lit(2.0)),
-            "style_bang": F.least(F.regexp_count(text, F.lit(r"!!")) / n * 2, F.lit(2.0)),
-            "style_again": 2 * F.regexp_count(text, F.lit(r"(?<!\S)(\S+)\s+(?=\1(?!\S))")) / n,
-            "style_distinct": F.size(F.array_distinct(F.split(text, r"\s+"))) / n,
+            "style_upper": F.regexp_count(text, F.lit(r"\p{Lu}")) / size,
+            "style_mark": F.least(8 * F.regexp_count(text, F.lit(r"[^\p{L}\p{N}\s.,]++")) / size, F.lit(2.0)),
+            "style_distinct": F.size(F.array_distinct("style_parts")) / n,
             "style_long": F.least(size / n / 12, F.lit(2.0)),
             "style_size": F.log1p(n) / 10,
         }
     )
+    return styled.drop("style_parts")
 
 
 def _priors(sites: DataFrame, hosts: DataFrame, host: str, n: str, s: str) -> Priors:
