@@ -37,10 +37,10 @@ MODELS = {
     "logistic_regression": ("logistic_regression", {}),
     "decision_tree": ("decision_tree", {}),
     "gbt": ("gradient_boosted_trees", {}),
-    "random_forest": ("random_forest", {"numTrees": 50}),
+    "random_forest": ("random_forest", {"numTrees": 500}),
     "mlp": ("multilayer_perceptron", {}),
-    "boosted_trees": ("boosted_trees", {"n_estimators": 5, "max_depth": 4}),
-    "dense_net": ("dense_net", {"epochs": 5}),
+    "boosted_trees": ("boosted_trees", {"n_estimators": 50, "max_depth": 4}),
+    "dense_net": ("dense_net", {"epochs": 20}),
 }
 
 

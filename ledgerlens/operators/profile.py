@@ -90,25 +90,36 @@ def box_plot_stats(df: DataFrame, features: Sequence[str] = S.PROFILE_FEATURES,
         quartiles = exact_quantiles(df, features, marks)
     else:
         sketch = df.agg(*[F.percentile_approx(c, marks, 10_000).alias(c) for c in features]).first()
-        quartiles = {c: list(sketch[c]) for c in features}
+        quartiles = {c: list(sketch[c] or [None] * len(marks)) for c in features}
 
     aggregates, rows = [], []
     for i, c in enumerate(features):
-        q1, median, q3 = quartiles[c]
+        v, (q1, median, q3) = F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)), quartiles[c]
         if median is None:
+            # Nothing to summarise: a row of nulls.
+            names = ("q1", "median", "q3", "whisker_low", "whisker_high")
+            empty = [F.lit(None).cast("double").alias(x) for x in names]
+            rows.append(F.struct(F.lit(c).alias("feature"), *empty, F.lit(0).cast("bigint").alias("outliers")))
             continue
-        low, high = f"{q1 - 1.5 * (q3 - q1)!r}D", f"{q3 + 1.5 * (q3 - q1)!r}D"
+        low, high = F.lit(q1 - 1.5 * (q3 - q1)), F.lit(q3 + 1.5 * (q3 - q1))
         aggregates += [
-            f"min(`{c}`) filter (where `{c}` >= {low}) as lo{i}",
-            f"max(`{c}`) filter (where `{c}` <= {high}) as hi{i}",
-            f"count_if(`{c}` < {low} or `{c}` > {high}) as out{i}",
+            F.min(F.when(v >= low, v)).alias(f"lo{i}"),
+            F.max(F.when(v <= high, v)).alias(f"hi{i}"),
+            F.count_if((v < low) | (v > high)).alias(f"out{i}"),
         ]
         # A whisker never ends inside the box.
         rows.append(
-            f"named_struct('feature', '{c}', 'q1', {q1!r}D, 'median', {median!r}D, 'q3', {q3!r}D,"
-            f" 'whisker_low', least(lo{i}, {q1!r}D), 'whisker_high', greatest(hi{i}, {q3!r}D), 'outliers', out{i})"
+            F.struct(
+                F.lit(c).alias("feature"),
+                F.lit(q1).alias("q1"),
+                F.lit(median).alias("median"),
+                F.lit(q3).alias("q3"),
+                F.least(F.col(f"lo{i}"), F.lit(q1)).alias("whisker_low"),
+                F.greatest(F.col(f"hi{i}"), F.lit(q3)).alias("whisker_high"),
+                F.col(f"out{i}").alias("outliers"),
+            )
         )
-    return df.selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(rows)}))")
+    return df.agg(*(aggregates or [F.count("*")])).select(F.inline(F.array(*rows)))
 
 
 def correlation_matrix(df: DataFrame, features: Sequence[str] = S.PROFILE_FEATURES) -> DataFrame:

@@ -13,7 +13,7 @@ _WORD = 2.0**32
 
 
 def in_train(key: str, fraction: float = 0.8, seed: int = 42) -> Column:
-    return hash_bucket(key, seed) < F.lit(round(fraction * 1000))
+    return hash_fraction(key, seed) < F.lit(float(fraction))
 
 
 def train_test_split(

@@ -66,14 +66,17 @@ def scan_csv(spark, folder):
 def scan_csv_text(spark, folder):
     path = Scratch(spark, "csv").path("transactions")
     transactions(spark, folder).drop(BUCKET).write.option("header", True).csv(path)
-    return read_csv_text(spark, path).select(
-        F.col(KEY).cast("bigint").alias(KEY), scaling.text_label("Class").alias("label")
+    text = read_csv_text(spark, path)
+    return text.select(
+        F.col(KEY).cast("bigint").alias(KEY),
+        *[F.col(c).cast("double").alias(c) for c in text.columns if c not in (KEY, "Class")],
+        scaling.text_label("Class").alias("Class"),
     )
 
 
 @query
 def scan_parquet(spark, folder):
-    return read_parquet(spark, f"{folder}/events.parquet").select("event_id", "user_id", "event_type", "value")
+    return read_parquet(spark, f"{folder}/events.parquet")
 
 
 @query
@@ -87,10 +90,7 @@ def parquet_roundtrip(spark, folder):
 def feature_array(spark, folder):
     arrays = feature_arrays(transactions(spark, folder), KEY)
     return arrays.select(
-        "id",
-        F.size("value").cast("bigint").alias("n"),
-        F.col("value")[0].alias("first"),
-        F.col("value")[28].alias("last"),
+        "id", *[F.col("value")[i].alias(f"v{i}") for i in range(len(S.MODEL_FEATURES))]
     )
 
 
@@ -351,8 +351,8 @@ QUERIES.update(
         "gbt": _fixed("gradient_boosted_trees"),
         "logistic_regression": _fixed("logistic_regression"),
         "mlp": _fixed("multilayer_perceptron"),
-        "random_forest": _fixed("random_forest", numTrees=50),
-        "boosted_trees": _fixed("boosted_trees", n_estimators=5, max_depth=4),
+        "random_forest": _fixed("random_forest", numTrees=500),
+        "boosted_trees": _fixed("boosted_trees", n_estimators=50, max_depth=4),
         "dense_net": _fixed("dense_net", num_workers=4),
         "linear_svc_cv": _tuned("linear_svc", {"regParam": [0.001, 0.1], "maxIter": [50]}),
         "decision_tree_cv": _tuned("decision_tree", {"maxDepth": [3, 5], "impurity": ["gini", "entropy"]}),

@@ -12,6 +12,8 @@ def _word(seed: str) -> str:
     return f"('0x' || substr(md5('{seed}|' || event_id::varchar), 1, 8))::bigint"
 
 
+_TRAIN = f"{_word('42')}::double / 4294967296.0::double < 0.8::double"
+
 _V = ",\n    ".join(f"m.embedding[{i}]::double AS V{i}" for i in range(1, 29))
 
 TXN = f"""
@@ -82,7 +84,7 @@ kept AS (
 )"""
 
 _BAYES = _MINMAX + [
-    "pool AS (SELECT event_id, Class AS label FROM txn WHERE b < 800)",
+    f"pool AS (SELECT event_id, Class AS label FROM txn WHERE {_TRAIN})",
     _UNDER,
     "n_class AS (SELECT label, count(*) AS n FROM kept GROUP BY label)",
     "s AS (SELECT mm.label, feature, sum(v) AS s FROM mm JOIN kept USING (event_id) GROUP BY mm.label, feature)",
@@ -94,9 +96,9 @@ _BAYES = _MINMAX + [
 ]
 
 _SCORES = _BAYES + [
-    """joint AS (
+    f"""joint AS (
   SELECT event_id, mm.label AS label, theta.label AS c, sum(v * log_likelihood) + min(log_prior) AS l
-  FROM mm JOIN theta USING (feature) WHERE b >= 800 GROUP BY ALL
+  FROM mm JOIN theta USING (feature) WHERE NOT ({_TRAIN}) GROUP BY ALL
 )""",
     """scores AS MATERIALIZED (
   SELECT one.event_id, one.label::double AS label, 1.0::double / (1.0::double + exp(zero.l - one.l)) AS p1
@@ -196,10 +198,10 @@ _LEVEL = [
 
 ORACLE: dict[str, str] = {
     "scan_csv": _with(TXN, tail="SELECT * EXCLUDE (b) FROM txn"),
-    "scan_csv_text": _with(TXN, tail="SELECT event_id, Class AS label FROM txn"),
-    "scan_parquet": "SELECT event_id, user_id, event_type, value FROM events",
+    "scan_csv_text": _with(TXN, tail="SELECT * EXCLUDE (b) FROM txn"),
+    "scan_parquet": "SELECT * FROM events",
     "parquet_roundtrip": _with(TXN, tail="SELECT * FROM txn"),
-    "feature_array": _with(TXN, tail="SELECT event_id AS id, 29::bigint AS n, V1 AS first, Amount AS last FROM txn"),
+    "feature_array": _with(TXN, tail=f"SELECT event_id AS id, {', '.join(f'{c} AS v{i}' for i, c in enumerate(FEATURES))} FROM txn"),
     "label_projection": _with(TXN, tail="SELECT event_id, Class::double AS label FROM txn"),
     "threshold_predict": """SELECT event_id,
   CASE WHEN value / 500.0::double >= 0.1::double THEN 1.0::double ELSE 0.0::double END AS at_least,
@@ -232,7 +234,7 @@ FROM long x JOIN long y USING (event_id)
 WHERE x.feature NOT IN ('V28', 'Amount') AND y.feature NOT IN ('V28', 'Amount') GROUP BY 1, 2""",
     ),
     "train_test_split": _with(
-        TXN, tail="SELECT event_id, Class, CASE WHEN b < 800 THEN 'train' ELSE 'test' END AS part FROM txn"
+        TXN, tail=f"SELECT event_id, Class, CASE WHEN {_TRAIN} THEN 'train' ELSE 'test' END AS part FROM txn"
     ),
     "bernoulli_sample": _with(
         TXN,

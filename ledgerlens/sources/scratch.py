@@ -8,7 +8,6 @@ loss of executors.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,5 +68,4 @@ def _checkpoint_dir(spark: SparkSession) -> str:
         return known
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlens-"))
-    return context.getCheckpointDir()
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/ledgerlens-scratch"

@@ -6,22 +6,10 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from ledgerlens.plans.oracle import ORACLE
 
 FOLDER = "/root/testdata/sf0.001"
-CHECKED = [
-    "class_distribution",
-    "hourly_class_counts",
-    "amount_histogram",
-    "boxplot_stats",
-    "undersample",
-    "train_test_split",
-    "minmax_scale",
-    "naive_bayes_report",
-    "binary_metrics",
-    "weighted_f1",
-    "boost_histogram_level",
-    "dbscan_anomaly_metrics",
-]
+CHECKED = sorted(ORACLE)
 
 needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
 

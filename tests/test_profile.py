@@ -77,3 +77,40 @@ def test_row_index_follows_the_key(spark):
     df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(3)
     got = {r.k: r.row_index for r in row_index(df, "k").collect()}
     assert got == {k: i for i, k in enumerate(sorted(keys))}
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [float(i) for i in range(100)] + [float("nan")],
+        [float(i) for i in range(100)] + [float("inf"), float("-inf")],
+        [10.0**k for k in range(-300, 301)],
+        [-1.7e308, 0.0, 1.7e308, 5.0],
+        [float("inf")] * 3,
+    ],
+)
+def test_quartiles_of_extreme_values(spark, values):
+    import math
+
+    import numpy as np
+
+    from ledgerlens.operators.quantiles import exact_quantiles
+
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = exact_quantiles(df, ["x"], [0.25, 0.5])["x"]
+    with np.errstate(all="ignore"):
+        want = np.quantile([v for v in values if not math.isnan(v)], [0.25, 0.5])
+    if len(values) == 3:
+        assert got == [math.inf, math.inf]
+    else:
+        np.testing.assert_allclose(got, want, rtol=1e-12)
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_box_plot_of_empty_columns(spark, exact):
+    from ledgerlens.operators.profile import box_plot_stats
+
+    df = spark.createDataFrame([(1.0, None), (2.0, None)], "`it's` double, y double")
+    rows = {r.feature: r for r in box_plot_stats(df, ["it's", "y"], exact).collect()}
+    assert rows["it's"].median is not None and rows["y"].median is None
+    assert box_plot_stats(df, ["y"], exact).count() == 1

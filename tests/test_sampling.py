@@ -44,3 +44,10 @@ def test_undersample_clamps_the_fraction(rows):
     assert _keys(sampling.undersample(few, "k")) == _keys(few)
     only = rows.filter("label = 1")
     assert _keys(sampling.undersample(only, "k")) == _keys(only)
+
+
+@pytest.mark.parametrize("fraction", [0.0004, 0.9996])
+def test_split_fractions_are_not_rounded(spark, fraction):
+    train, test = sampling.train_test_split(spark.range(100_000).withColumnRenamed("id", "k"), "k", fraction)
+    small = train if fraction < 0.5 else test
+    assert 15 < small.count() < 80
