@@ -75,7 +75,9 @@ class Model:
 
     def __init__(self, langs: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray]):
         self.langs, self.words, self.grams = langs, words, grams
-        self._scores: dict[str, np.ndarray] = {}
+        # Scores of words met so far lie in rows of one table.
+        self._places: dict[str, int] = {}
+        self._scores = np.zeros((1024, len(langs)))
 
     def word(self, word: str) -> np.ndarray:
         """Evidence of one word by language."""
@@ -86,22 +88,31 @@ class Model:
         for n in LENGTHS:
             found = [g for i in range(len(marked) - n + 1) if (g := self.grams.get(marked[i : i + n])) is not None]
             if found:
-                return np.mean(found, axis=0)
+                return sum(found[1:], found[0]) / len(found)
         return np.zeros(len(self.langs), np.float32)
 
+    def _place(self, word: str) -> int:
+        """Where the scores of a word lie."""
+        place = self._places.get(word)
+        if place is None:
+            place = len(self._places)
+            if place == len(self._scores):
+                self._scores = np.concatenate([self._scores, np.zeros_like(self._scores)])
+            self._scores[place] = self.word(word)
+            self._places[word] = place
+        return place
+
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, probability)."""
-        words = Counter(w for w in _LETTERS.findall((text or "").lower()) if w.isalpha())
+        found = Counter(_LETTERS.findall((text or "").lower()))
+        words = {w: n for w, n in found.items() if w.isalpha()}
         if not words or not self.langs:
             return UNKNOWN, 0.0
-        if len(self._scores) > _KEPT:
-            self._scores.clear()
-        scores = self._scores
-        for w in words:
-            if w not in scores:
-                scores[w] = self.word(w)
+        if len(self._places) > _KEPT:
+            self._places.clear()
+        places = [self._place(w) for w in words]
         counts = np.fromiter(words.values(), np.float64, len(words))
-        total = counts @ np.stack([scores[w] for w in words])
+        total = counts @ self._scores[places]
         total *= min(1.0, _FULL / counts.sum())
         best = int(total.argmax())
         return self.langs[best], 1.0 / math.fsum(np.exp(total - total[best]).tolist())
