@@ -8,7 +8,7 @@ share a bucket.
 
 Inside a bucket, candidates form stars: the first class is compared with all
 others, not everyone with everyone. Then buckets whose members are not yet
-known to be connected get further centres, three times as many each round, until the
+known to be connected get further centres, eight times as many each round, until the
 members of each bucket are connected or every unconnected pair has been
 compared. So no link is lost that a bucket shows, and a bucket of n connected
 classes costs about n comparisons. Links are confirmed on full sets.
@@ -30,6 +30,8 @@ from ledgerlens.llm.words import SHINGLE, mixed, shingle_sets
 from ledgerlens.operators.components import connected_components
 from ledgerlens.sources import Scratch
 
+# Centres of a bucket grow by this factor each round: fewer rounds against a few more comparisons.
+_MORE = 8
 
 
 @dataclass(frozen=True)
@@ -194,7 +196,7 @@ def _possible(percent: int, size: str, common: str, other_size: str, other_commo
 def _links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """(node, root) of the classes that have a link; see the module's text for the rounds."""
     left = members.select("key", "node", "size", "common", "weight", "keys")
-    roots, compared, centres = None, None, 1
+    roots, centres = None, 1
     while True:
         if roots is None:
             placed = left.withColumn("root", F.col("node"))
@@ -231,14 +233,13 @@ def _links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch)
         met = met.filter(_possible(percent, "size", "common", "other_size", "other_common"))
         # Two classes that share several buckets are compared in the one of the smallest key only.
         met = met.filter(F.col("key") == F.array_min(F.array_intersect("keys", "other_keys")))
-        new = _pairs(met.select("node", "size", "other", "other_size"))
-        fresh = scratch.write(_confirmed(new, sets, percent), "compared")
-        compared = fresh if compared is None else compared.unionByName(fresh)
-        if roots is None or not fresh.filter("linked").isEmpty():
-            roots = scratch.write(_roots(compared, scratch), "roots")
+        new = _pairs(met.select("node", "size", "root", "other", "other_size", "other_root"))
+        fresh = scratch.write(_confirmed(new, sets, percent).filter("linked"), "links")
+        if roots is None or not fresh.isEmpty():
+            roots = scratch.write(_joined(roots, connected_components(fresh.select("a", "b"), scratch)), "roots")
         # A centre has met all others of its bucket and leaves it.
         left = placed.filter("NOT centre").select("key", "node", "size", "common", "weight", "keys")
-        centres *= 3
+        centres *= _MORE
 
 
 def _roots_of_none(placed: DataFrame) -> DataFrame:
@@ -255,20 +256,27 @@ def _pairs(found: DataFrame) -> DataFrame:
             F.greatest("node", "other").alias("b"),
             F.when(low, F.col("size")).otherwise(F.col("other_size")).alias("a_size"),
             F.when(low, F.col("other_size")).otherwise(F.col("size")).alias("b_size"),
+            F.least("root", "other_root").alias("low_root"),
+            F.greatest("root", "other_root").alias("high_root"),
         )
         .distinct()
     )
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked), compared on full sets."""
+    """(a, b, linked): pairs compared on full sets, with a and b the roots that a link joins."""
     near = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("a_set")), "a")
     near = near.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("b_set")), "b")
     shared = F.size(F.array_intersect("a_set", "b_set"))
     linked = 100 * shared >= percent * (F.col("a_size") + F.col("b_size") - shared)
-    return near.select("a", "b", linked.alias("linked"))
+    return near.select(F.col("low_root").alias("a"), F.col("high_root").alias("b"), linked.alias("linked"))
 
 
-def _roots(compared: DataFrame, scratch: Scratch) -> DataFrame:
-    found = connected_components(compared.filter("linked").select("a", "b"), scratch)
-    return found.select("node", F.col("component").alias("root"))
+def _joined(roots: DataFrame | None, found: DataFrame) -> DataFrame:
+    """(node, root) after the roots of `found` have been joined; a node without links so far is its own root."""
+    if roots is None:
+        return found.select("node", F.col("component").alias("root"))
+    moved = found.select(F.col("node").alias("root"), "component")
+    known = roots.join(moved, "root", "left").select("node", F.coalesce("component", "root").alias("root"))
+    new = found.join(roots.select("node"), "node", "left_anti").select("node", F.col("component").alias("root"))
+    return known.unionByName(new)
