@@ -12,7 +12,11 @@ of the lists above the threshold, confirmed in double precision, are the links.
 A list whose last entry is still above the threshold is saturated: it may hide
 further links. The lists of its component are enlarged to the whole component,
 in blocks of bounded size that leave counts of links instead of pairs, so a
-crowd of vectors that are all alike costs comparisons but no rows.
+crowd of vectors that are all alike costs comparisons but no rows. As full lists
+drop links to other crowds, every stretch that is compared also tells what links
+join in it, and a second audit compares saturated nodes with all others: links
+that leave their component join it, new orders are tried, and other nodes are
+audited, until none of them has such a link.
 """
 
 from __future__ import annotations
@@ -38,6 +42,8 @@ _BITS = 40
 # Single precision serves the search; what it may be off by.
 _SLACK = 1e-5
 _AUDITED = 200
+# Crowds of which a node each is audited for links that leave their component.
+_CROWDS = 1000
 _ROUNDS = 8
 # Vectors of a crowd that are compared with as many others at a time, about.
 _BLOCK = 1024
@@ -75,11 +81,7 @@ def near_vectors(
         F.min("vec_id").alias("first"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("unit").alias("unit")
     )
     nodes = scratch.write(nodes, "nodes")
-    links, bridges, saturated = _search(nodes, scratch, threshold, neighbours, orders, least_recall)
-    joined = links.unionByName(bridges)
-    roots = scratch.write(connected_components(joined, scratch), "roots")
-    named = nodes.select("node", "first", "n").join(roots, "node", "left")
-    named = scratch.write(named.withColumn("root", F.coalesce("component", "node")).drop("component"), "named")
+    links, named, saturated = _search(nodes, scratch, threshold, neighbours, orders, least_recall)
     crowds = named.join(saturated, "node", "left_semi").select("root").distinct()
     crowded = named.join(crowds, "root", "left_semi").join(nodes.select("node", "unit"), "node")
     inside = _crowd_links(crowded, scratch, threshold)
@@ -126,26 +128,38 @@ def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _search(nodes, scratch, threshold, neighbours, orders, least_recall) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(a, b) of links between nodes, further pairs that links join, and the nodes whose lists are saturated."""
+    """(a, b) of links between nodes, (node, first, n, root) of all, and the nodes whose lists are saturated."""
     small = scratch.write(nodes.select("node", "label", F.col("unit").cast("array<float>").alias("unit")), "single")
     floor, turn = threshold - _SLACK, 0
     lists, bridges = _first_lists(small, scratch, neighbours, orders, 0, threshold)
     while True:
         for _ in range(_ROUNDS):
             turn += 1
-            lists, new = _refined(lists, small, scratch, turn, floor)
+            lists, joined, new = _refined(lists, small, scratch, turn, floor, threshold)
+            bridges = bridges.unionByName(joined)
             if not new and turn > 1:
                 break
         links = scratch.write(_confirmed(lists, nodes, threshold, floor), "links")
         saturated = lists.filter(_saturated(floor)).select("node")
         if _recall(links, nodes, saturated, threshold) >= least_recall:
-            return links, bridges, saturated
+            bridges = scratch.write(bridges.distinct(), "bridges")
+            break
         # The audit missed links: longer lists and orders not tried yet.
         neighbours *= 2
         more, joined = _first_lists(small, scratch, neighbours, orders, turn, threshold)
         bridges = bridges.unionByName(joined)
         both = lists.select("node", F.explode("near").alias("e")).unionByName(more.select("node", F.explode("near").alias("e")))
         lists = scratch.write(_merged(both, neighbours), "lists")
+    while True:
+        turn += 1
+        roots = scratch.write(connected_components(links.unionByName(bridges), scratch), "roots")
+        named = nodes.select("node", "first", "n").join(roots, "node", "left")
+        named = scratch.write(named.withColumn("root", F.coalesce("component", "node")).drop("component"), "named")
+        leaving = scratch.write(_leaving(named, nodes, saturated, threshold, turn), "leaving")
+        if leaving.isEmpty():
+            return links, named, saturated
+        _, joined = _first_lists(small, scratch, 1, orders, turn, threshold)
+        bridges = bridges.unionByName(leaving).unionByName(joined)
 
 
 def _saturated(floor: float) -> Column:
@@ -228,8 +242,11 @@ def _first_lists(
     return scratch.write(_merged(entries, neighbours), "lists"), scratch.write(bridges, "bridges")
 
 
-def _refined(lists: DataFrame, small: DataFrame, scratch: Scratch, turn: int, floor: float) -> tuple[DataFrame, int]:
-    """One round of comparisons around each node, and how many links it brought to lists that weren't saturated."""
+def _refined(
+    lists: DataFrame, small: DataFrame, scratch: Scratch, turn: int, floor: float, threshold: float
+) -> tuple[DataFrame, DataFrame, int]:
+    """One round of comparisons around each node, the pairs that links join in them, and how many links it brought to
+    lists that weren't saturated."""
     edges = lists.select("node", F.explode("near.other").alias("other"))
     around = edges.select(F.col("node").alias("centre"), F.col("other").alias("node")).unionByName(
         edges.select(F.col("other").alias("centre"), "node")
@@ -247,18 +264,22 @@ def _refined(lists: DataFrame, small: DataFrame, scratch: Scratch, turn: int, fl
     )
     grouped = dealt.join(with_units, "node").repartition("group").sortWithinPartitions("group", "node")
     found = grouped.select("group", "node", "k", "last", "unit").mapInArrow(
-        _compare(4 * _AROUND, 4 * _AROUND), "node long, sim double, other long"
+        _compare(4 * _AROUND, 4 * _AROUND, threshold + _SLACK), "node long, sim double, other long"
     )
     entries = lists.select("node", F.explode("near").alias("e")).unionByName(
         found.select("node", F.struct("sim", "other").alias("e"))
     )
     best = entries.groupBy("node").agg(F.sort_array(F.collect_set("e"), asc=False).alias("all"))
     before = lists.select("node", "k", F.size(F.filter("near", lambda e: e["sim"] >= floor)).alias("before"), _saturated(floor).alias("full"))
-    merged = best.join(before, "node").withColumn("near", F.slice("all", F.lit(1), F.col("k")))
+    near = F.slice(F.filter("all", lambda e: e["sim"] < _JOINED), F.lit(1), F.col("k"))
+    joined = F.transform(F.filter("all", lambda e: e["sim"] == _JOINED), lambda e: e["other"])
+    merged = best.join(before, "node").withColumn("near", near)
     after = F.size(F.filter("near", lambda e: e["sim"] >= floor))
     new = F.when(F.col("full"), 0).otherwise(after - F.col("before"))
-    merged = scratch.write(merged.select("node", "k", "near", new.alias("new")), "refined")
-    return merged.drop("new"), merged.agg(F.sum("new")).first()[0] or 0
+    merged = scratch.write(merged.select("node", "k", "near", new.alias("new"), joined.alias("joined")), "refined")
+    bridges = merged.select("node", F.explode("joined").alias("other"))
+    bridges = bridges.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+    return merged.drop("new", "joined"), bridges, merged.agg(F.sum("new")).first()[0] or 0
 
 
 def _compare(stretch: int, step: int, joined: float | None = None) -> Callable:
@@ -350,7 +371,7 @@ def _confirmed(lists: DataFrame, nodes: DataFrame, threshold: float, floor: floa
 def _recall(links: DataFrame, nodes: DataFrame, saturated: DataFrame, threshold: float) -> float:
     """Of the links of a fixed number of nodes, found by comparing these with all nodes, the part that is known.
 
-    Nodes with saturated lists are compared with their whole components later, and aren't audited.
+    Nodes with saturated lists are compared with their whole components later; `_leaving` audits those.
     """
     audited = nodes.select("node", "label", "unit").join(saturated, "node", "left_anti").orderBy(F.xxhash64("node")).limit(_AUDITED).toArrow().to_pylist()
     sent = nodes.sparkSession.sparkContext.broadcast(audited)
@@ -377,3 +398,39 @@ def _recall(links: DataFrame, nodes: DataFrame, saturated: DataFrame, threshold:
     known = links.withColumn("known", F.lit(1))
     total, found = true.join(known, ["a", "b"], "left").agg(F.count("*"), F.count("known")).first()
     return found / total if total else 1.0
+
+
+def _leaving(named: DataFrame, nodes: DataFrame, saturated: DataFrame, threshold: float, turn: int) -> DataFrame:
+    """(a, b) of links between audited nodes with saturated lists and nodes of other components, one for each such component.
+
+    Audited are a node of each crowd, of the first _CROWDS by hash, and _AUDITED of all; each turn takes others.
+    """
+    placed = nodes.select("node", "label", "unit").join(named.select("node", "root"), "node")
+    full = named.select("node", "root").join(saturated, "node", "left_semi")
+    mark = F.xxhash64("node", F.lit(turn))
+    each = full.groupBy("root").agg(F.min_by("node", mark).alias("node")).orderBy(F.xxhash64("root", F.lit(turn))).limit(_CROWDS)
+    chosen = each.select("node").unionByName(full.orderBy(mark).limit(_AUDITED).select("node")).distinct()
+    audited = placed.join(F.broadcast(chosen), "node", "left_semi").toArrow().to_pylist()
+    groups: dict[tuple, list[dict]] = {}
+    for row in audited:
+        groups.setdefault((row["label"], len(row["unit"])), []).append(row)
+    ready = {
+        k: (np.array([r["node"] for r in g]), np.array([r["root"] for r in g]), np.array([r["unit"] for r in g]))
+        for k, g in groups.items()
+    }
+    sent = nodes.sparkSession.sparkContext.broadcast(ready)
+
+    def against(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = [], []
+            columns = (batch[c].to_pylist() for c in ("node", "root", "label"))
+            for node, root, label, unit in zip(*columns, batch["unit"]):
+                ids, roots, units = sent.value.get((label, len(unit)), (None, None, None))
+                if ids is not None:
+                    out = np.flatnonzero((units @ unit.values.to_numpy() >= threshold + 1e-9) & (roots != root))
+                    for i in out[np.unique(roots[out], return_index=True)[1]].tolist():
+                        a.append(min(node, int(ids[i])))
+                        b.append(max(node, int(ids[i])))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return placed.mapInArrow(against, "a long, b long").distinct()

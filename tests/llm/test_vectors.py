@@ -35,3 +35,23 @@ def test_links_match_brute_force(spark):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert vectors.near_vectors(none, Scratch(spark, "v")).count() == 0
+
+
+def test_crowds_that_no_stretch_joins(spark):
+    random = np.random.default_rng(2)
+    # The first hyperplane of the only order parts the two crowds, and other vectors lie between them.
+    plane = np.random.default_rng([0, 16]).normal(size=(40, 16))[0]
+    plane /= np.linalg.norm(plane)
+    along = random.normal(size=16)
+    along -= (along @ plane) * plane
+    along /= np.linalg.norm(along)
+    turned = np.arccos(0.985) / 2
+    crowds = [np.cos(turned) * along + side * np.sin(turned) * plane for side in (-1, 1)]
+    x = np.concatenate([*(c + random.normal(scale=0.002, size=(90, 16)) for c in crowds), random.normal(size=(600, 16))])
+    table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in vectors.near_vectors(table, Scratch(spark, "v"), orders=1).collect()}
+    units = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = (units @ units.T >= 0.98).sum(axis=1) - 1
+    assert links[:180].min() > 90
+    assert [got[i].n_links for i in range(180)] == links[:180].tolist()
+    assert {got[i].component_id for i in range(180)} == {0}
