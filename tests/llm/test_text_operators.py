@@ -98,6 +98,19 @@ def test_main_text(spark):
     assert pages.extract(table.limit(0)).count() == 0
 
 
+def test_main_text_is_whole():
+    long = ("word " * 30).strip()
+    furniture = "<form>Name</form><div class=ad>Buy</div><div class='ad-slot'>Now</div><div id=share>Share</div>"
+    assert pages.main_text(f"<p>{long}</p>{furniture}<p>The end.</p>") == long + "\n\nThe end."
+    assert pages.main_text(f"<p>See <a href=x>{long}</a></p><p>{long}</p>") == f"See {long}\n\n{long}"
+    for wrapper in ("layout with-sidebar", "sidebar", "share", "comments"):
+        page = f"<nav>Menu</nav><div class='{wrapper}'><article><p>{long}</p>{furniture}<p>End</p></article></div><footer>me</footer>"
+        assert pages.main_text(page) == long + "\n\nEnd", wrapper
+    assert pages.main_text(f"<div class='layout with-sidebar'><p>{long}</p></div><div class=sidebar>x</div>") == long
+    talk = "<section id=comments><article><p>First!</p></article></section><article class=comment>Second</article>"
+    assert pages.main_text(f"<article><p>{long}</p></article>{talk}") == long
+
+
 def test_near_copies(spark):
     base = [prose(i, 120) for i in range(6)]
     rows = [(10 * i, t, "en", "s") for i, t in enumerate(base)]
