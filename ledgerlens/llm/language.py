@@ -20,12 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-# Labelled documents of a language that the model is counted from, about, and how often it must have seen something.
+# Different labelled texts of a language that the model is counted from, at most, and how often it must have seen something.
 SAMPLE = 1200
 LEAST_WORD, LEAST_GRAM = 2, 3
 LENGTHS = (4, 3, 2, 1)
 # Words that a worker keeps the scores of, and words of a text that count as full evidence.
 _KEPT, _FULL = 200_000, 20
+_HASHES = 1 << 62
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -35,15 +36,23 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, may_train: Column, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
-    """A model from rows that may train and have a text and a language, about `sample` of each language."""
+    """A model from rows that may train and have a text and a language: of each language, the `sample` different texts of
+    the smallest hashes, or all of fewer. Copies count once."""
     rows = docs.filter(may_train & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     rows = rows.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    mark = F.pmod(F.xxhash64("text", "lang"), F.lit(_HASHES))
+    marks = rows.select("lang", mark.alias("mark")).distinct()
+    sizes = {r[0]: r[1] for r in marks.groupBy("lang").count().collect()}
     langs = sorted(sizes)
     if not langs:
         return Model([], {}, {})
-    part = F.coalesce(*(F.when(F.col("lang") == x, min(1.0, sample / sizes[x])) for x in langs))
-    chosen = rows.filter(F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) < part * (1 << 30))
+    # Twice as many hashes as wanted and some more lie below these bounds, about; so the wanted ones do.
+    bounds = {x: _HASHES if n <= 2 * sample + 100 else _HASHES * (2 * sample + 100) // n for x, n in sizes.items()}
+    found: dict[str, list[int]] = {}
+    for lang, own in marks.filter(F.col("mark") < _by_lang(bounds)).collect():
+        found.setdefault(lang, []).append(own)
+    last = {x: sorted(own)[:sample][-1] for x, own in found.items()}
+    chosen = rows.filter(mark <= _by_lang(last)).distinct()
     words = chosen.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}]+)"))).alias("item"))
     words = words.groupBy("lang", "item").count()
     grams = [
@@ -57,6 +66,11 @@ def train(docs: DataFrame, may_train: Column, text_col: str = "text", lang_col:
     return Model(langs, _table(words, LEAST_WORD, langs), _table(parts, LEAST_GRAM, langs))
 
 
+def _by_lang(values: dict[str, int]) -> Column:
+    """The value of a row's language."""
+    return F.element_at(F.create_map(*(x for lang, value in values.items() for x in (F.lit(lang), F.lit(value).cast("long")))), F.col("lang")).cast("long")
+
+
 def _table(counts: DataFrame, least: int, langs: list[str]) -> dict[str, np.ndarray]:
     """Log frequencies by language of what was seen often enough."""
     wide = counts.groupBy("item").pivot("lang", langs).agg(F.sum("count")).fillna(0)

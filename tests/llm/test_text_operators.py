@@ -233,6 +233,15 @@ def test_language(spark):
     assert nothing.predict("the")[0] == "und"
 
 
+def test_language_learns_from_different_texts(spark):
+    own = ["".join("abcdefghij"[int(d)] for d in str(1000 + i)) for i in range(300)]
+    texts = [f"{w} {w}" for w in own] + ["hot hot"] * 5000
+    docs = documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)] + [(9000, "der der", "de", "s")])
+    for sample in (100, 301, 1000):
+        model = language.train(docs, F.lit(True), sample=sample)
+        assert len(model.words) == min(sample, 301) + 1 and "der" in model.words, sample
+
+
 def test_passages(spark):
     shared = ". ".join(prose(i, 8).strip(".") for i in range(70, 78)) + "."
     rows = [(1, f"{prose(1, 12)}\nin the middle {shared} goes on\nshort line", "en", "s")]
