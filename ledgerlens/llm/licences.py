@@ -8,12 +8,20 @@ A temperature fitted on paragraphs that were held out of the fit calibrates
 its probabilities. A prediction counts when its probability is high enough and
 the paragraph holds enough of the three-word shingles of one of the family's
 templates.
+
+A paragraph is a line, or the lines that a notice is wrapped over: lines without
+a blank one between them are joined where a shingle of a template runs from one
+into the next, or where shingles on both sides follow each other in a template.
+So lines of other text, or another notice, next to a notice stay apart from it.
 """
 
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer, VectorAssembler
@@ -31,6 +39,9 @@ _HASHED = 1 << 12
 # What a variant of a template weighs against a paragraph of the corpus, of which there are many more.
 _WEIGHT = 10.0
 _SHINGLE = 3
+# Words from the start of a shingle to that of the next one of a notice, at most, and words more or less than in the template.
+_APART, _CHANGED = 8, 2
+_WORD = re.compile(r"[^\W_]+")
 
 # Notices by which works are put under a licence.
 TEMPLATES: dict[str, list[str]] = {
@@ -83,7 +94,7 @@ def licences(
     text_col: str = "text",
     sample: int = SAMPLE,
 ) -> DataFrame:
-    """(doc_id, paragraph, licence, probability, cover, confirmed): paragraphs (lines, from 0) that a family is predicted for.
+    """(doc_id, paragraph, licence, probability, cover, confirmed): paragraphs (by their first lines, from 0) that a family is predicted for.
 
     `cover` is the share of the three-word shingles of the family's best
     template that the paragraph holds; `confirmed` asks for `least_cover`.
@@ -91,10 +102,7 @@ def licences(
     none. Equal rows give equal rows, null ids stay null. Further columns are
     not read.
     """
-    lines = docs.select(
-        column(docs, id_col).alias("doc_id"),
-        F.posexplode(F.split(column(docs, text_col), "\n")).alias("paragraph", "text"),
-    ).filter(F.length(F.trim("text")) > 0)
+    lines = _paragraphs(docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).cast("string").alias("text")))
     model, families, temperature = _fit(lines, scratch, sample)
     # Rows travel through the classifier with few columns; the paragraph itself is compared with templates afterwards.
     scored = model.transform(lines)
@@ -112,6 +120,71 @@ def licences(
     )
 
 
+def _paragraphs(docs: DataFrame) -> DataFrame:
+    """(doc_id, paragraph, text) of the paragraphs that are not blank."""
+    places: dict[str, list[tuple[int, int]]] = {}
+    for k, template in enumerate(t for ts in TEMPLATES.values() for t in ts):
+        for at, shingle in enumerate(_of(template)):
+            places.setdefault(shingle, []).append((k, at))
+    firsts = {s.split()[0] for s in places}
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, at, texts = [], [], []
+            for row, text in enumerate(batch["text"].to_pylist()):
+                for line, piece in joined_lines(text, places, firsts) if text else ():
+                    rows.append(row)
+                    at.append(line)
+                    texts.append(piece)
+            ids = batch["doc_id"].take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(at, pa.int32()), pa.array(texts, pa.string())], names=["doc_id", "paragraph", "text"])
+
+    return docs.mapInArrow(read, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, paragraph int, text string")
+
+
+def joined_lines(text: str, places: dict[str, list[tuple[int, int]]], firsts: set[str]) -> list[tuple[int, str]]:
+    """(first line, text) of each paragraph; `places` has (template, place in it) of each shingle, `firsts` their first words."""
+    lines = text.split("\n")
+    joins = [False] * len(lines)
+    words: list[str] = []
+    lies: list[int] = []
+
+    def close() -> None:
+        before: tuple[int, list[tuple[int, int]]] | None = None
+        for i in range(len(words) - _SHINGLE + 1):
+            found = places.get(" ".join(words[i : i + _SHINGLE])) if words[i] in firsts else None
+            if found is None:
+                continue
+            begin = i
+            if before and i - before[0] <= _APART and any(
+                k == k_ and p < p_ and abs(i - before[0] - (p_ - p)) <= _CHANGED for k, p in before[1] for k_, p_ in found
+            ):
+                begin = before[0]
+            for line in range(lies[begin], lies[i + _SHINGLE - 1]):
+                joins[line] = True
+            before = (i, found)
+        words.clear()
+        lies.clear()
+
+    for k, line in enumerate(lines):
+        own = _WORD.findall(line.lower())
+        if not own:
+            close()
+        words += own
+        lies += [k] * len(own)
+    close()
+    found, k = [], 0
+    while k < len(lines):
+        begin = k
+        while joins[k]:
+            k += 1
+        k += 1
+        piece = "\n".join(lines[begin:k])
+        if piece.strip(" "):
+            found.append((begin, piece))
+    return found
+
+
 def _words() -> RegexTokenizer:
     return RegexTokenizer(inputCol="text", outputCol="l_words", pattern=r"[\p{L}\p{N}]+", gaps=False)
 
@@ -123,9 +196,7 @@ def _shingles(words: str) -> Column:
 
 
 def _of(template: str) -> list[str]:
-    import re
-
-    words = re.findall(r"[^\W_]+", template.lower())
+    words = _WORD.findall(template.lower())
     return [" ".join(words[i : i + _SHINGLE]) for i in range(max(1, len(words) - _SHINGLE + 1))]
 
 

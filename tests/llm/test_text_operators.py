@@ -269,3 +269,19 @@ def test_licences(spark):
     rows += [(105, "This driving licence was released under heavy rain by the minister", "en", "s")]
     got = licences.licences(documents(spark, rows), Scratch(spark, "l")).filter("confirmed").collect()
     assert {(r.doc_id, r.paragraph, r.licence) for r in got} == {(100, 1, "MIT"), (101, 0, "Proprietary"), (102, 0, "CC-BY-NC")}
+
+
+def test_wrapped_licences(spark):
+    rows = [(i, "\n".join(prose(i + k, 25) for k in range(3)), "en", "s") for i in range(60)]
+    apache = licences.TEMPLATES["Apache-2.0"][1].split()
+    wrapped = "\n".join("# " + " ".join(apache[i : i + 5]) for i in range(0, len(apache), 5))
+    mit = licences.TEMPLATES["MIT"][1].split()
+    mit[9] = "someone"
+    rows += [(100, wrapped, "en", "s"), (101, f"{prose(1, 30)}\n\n{prose(2, 30)}\n{wrapped}\n{prose(3, 30)}", "en", "s")]
+    rows += [(102, f"All rights reserved.\n{' '.join(mit[:10])}\n{' '.join(mit[10:])}\nSPDX-License-Identifier: MIT", "en", "s")]
+    rows += [(103, "Released under\n\nthe MIT License.", "en", "s")]
+    found = licences.licences(documents(spark, rows), Scratch(spark, "l")).collect()
+    got = {(r.doc_id, r.paragraph, r.licence): r.cover for r in found if r.confirmed and r.doc_id != 103}
+    assert set(got) == {(100, 0, "Apache-2.0"), (101, 3, "Apache-2.0"), (102, 0, "Proprietary"), (102, 1, "MIT"), (102, 3, "MIT")}
+    assert got[100, 0, "Apache-2.0"] == got[101, 3, "Apache-2.0"] == 1 and 0.7 < got[102, 1, "MIT"] < 1
+    assert all(r.cover < 1 for r in found if r.doc_id == 103)
