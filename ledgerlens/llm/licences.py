@@ -33,8 +33,10 @@ from ledgerlens.llm.columns import column
 from ledgerlens.sources import Scratch
 
 UNKNOWN = "unknown"
-# Paragraphs of the corpus that the unknown class is learned from, at most: those of the smallest hashes.
+# Different paragraphs of the corpus that the unknown class is learned from, at most: of those that share no shingle with
+# a template, those of the smallest hashes.
 SAMPLE = 4000
+_HASHES = 1 << 62
 _HASHED = 1 << 12
 # What a variant of a template weighs against a paragraph of the corpus, of which there are many more.
 _WEIGHT = 10.0
@@ -103,7 +105,10 @@ def licences(
     not read.
     """
     lines = _paragraphs(docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).cast("string").alias("text")))
-    model, families, temperature = _fit(lines, scratch, sample)
+    # A bound of how many different paragraphs there are; of those that are joined, it counts each line.
+    marks = F.explode(F.split(column(docs, text_col), "\n")).alias("text")
+    several = docs.select(marks).select(F.xxhash64("text").alias("mark")).distinct().count()
+    model, families, temperature = _fit(lines, scratch, sample, several)
     # Rows travel through the classifier with few columns; the paragraph itself is compared with templates afterwards.
     scored = model.transform(lines)
     odds = F.transform(vector_to_array("l_raw"), lambda x: x / F.lit(temperature))
@@ -228,12 +233,25 @@ def _variants(spark: SparkSession, families: list[str]) -> DataFrame:
     return spark.createDataFrame(pd.DataFrame(rows, columns=["label", "text", "held"]))
 
 
-def _fit(lines: DataFrame, scratch: Scratch, sample: int) -> tuple[PipelineModel, list[str], float]:
+def _others(lines: DataFrame, scratch: Scratch, sample: int, several: int) -> DataFrame:
+    """The `sample` different paragraphs of the smallest hashes that share no shingle with a template, or all of fewer."""
+    own = F.array(*(F.lit(s) for s in sorted({s for ts in TEMPLATES.values() for t in ts for s in _of(t)})))
+    mark = F.pmod(F.xxhash64("text"), F.lit(_HASHES))
+    part = min(1.0, (2 * sample + 100) / max(1, several))
+    while True:
+        # Only paragraphs whose hashes lie below a bound are told apart; it grows until enough of them are left.
+        some = lines.select("text") if part == 1.0 else lines.select("text").filter(mark < int(part * _HASHES))
+        other = _words().transform(some.distinct()).filter(F.size(F.array_intersect(_shingles("l_words"), own)) == 0)
+        other = scratch.write(other.select("text").orderBy(mark, "text").limit(sample), "others")
+        if part == 1.0 or other.count() == sample:
+            return other
+        part = min(1.0, 8 * part)
+
+
+def _fit(lines: DataFrame, scratch: Scratch, sample: int, several: int) -> tuple[PipelineModel, list[str], float]:
     """The classifier, its classes in the order of its scores, and the temperature of its probabilities."""
     spark, families = lines.sparkSession, [UNKNOWN, *sorted(TEMPLATES)]
-    own = F.array(*(F.lit(s) for s in sorted({s for ts in TEMPLATES.values() for t in ts for s in _of(t)})))
-    other = lines.select("text").orderBy(F.xxhash64("text"), "text").limit(sample)
-    other = _words().transform(other).filter(F.size(F.array_intersect(_shingles("l_words"), own)) == 0)
+    other = _others(lines, scratch, sample, several)
     other = other.select(F.lit(0.0).alias("label"), "text", (F.pmod(F.xxhash64("text", F.lit(1)), F.lit(5)) == 4).alias("held"))
     rows = other.unionByName(_variants(spark, families))
     rows = rows.withColumn("weight", F.when(F.col("label") == 0, 1.0).otherwise(_WEIGHT))

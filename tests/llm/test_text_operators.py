@@ -285,3 +285,16 @@ def test_wrapped_licences(spark):
     assert set(got) == {(100, 0, "Apache-2.0"), (101, 3, "Apache-2.0"), (102, 0, "Proprietary"), (102, 1, "MIT"), (102, 3, "MIT")}
     assert got[100, 0, "Apache-2.0"] == got[101, 3, "Apache-2.0"] == 1 and 0.7 < got[102, 1, "MIT"] < 1
     assert all(r.cover < 1 for r in found if r.doc_id == 103)
+
+
+def test_licences_learn_from_different_paragraphs(spark, monkeypatch):
+    kept = []
+    fit = licences.Pipeline.fit
+    monkeypatch.setattr(licences.Pipeline, "fit", lambda self, rows: kept.append(rows) or fit(self, rows))
+    lines = [prose(i, 25) for i in range(60)]
+    often = "\n".join([f"{x} all rights reserved" for x in lines[:20]] * 30 + lines[:1] * 500)
+    rows = [(i, x, "en", "s") for i, x in enumerate(lines)] + [(100, often, "en", "s")]
+    licences.licences(documents(spark, rows), Scratch(spark, "l"), sample=60)
+    training = [r.text for r in kept[0].filter("label = 0").collect()]
+    # A fifth or so is held out of the fit.
+    assert set(training) <= set(lines) and len(training) == len(set(training)) > 35
