@@ -21,6 +21,7 @@ audited, until none of them has such a link.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -42,6 +43,8 @@ _BITS = 40
 # Single precision serves the search; what it may be off by.
 _SLACK = 1e-5
 _AUDITED = 200
+# True links that an audit must have seen, and nodes audited for that; if they have fewer links, a warning says so.
+_SEEN, _MOST_AUDITED = 20, 3200
 # Crowds of which a node each is audited for links that leave their component.
 _CROWDS = 1000
 _ROUNDS = 8
@@ -369,11 +372,27 @@ def _confirmed(lists: DataFrame, nodes: DataFrame, threshold: float, floor: floa
 
 
 def _recall(links: DataFrame, nodes: DataFrame, saturated: DataFrame, threshold: float) -> float:
-    """Of the links of a fixed number of nodes, found by comparing these with all nodes, the part that is known.
+    """Of the links of some nodes, found by comparing these with all nodes, the part that is known.
+
+    More nodes are drawn until these have _SEEN links, as far as there are any or to _MOST_AUDITED.
 
     Nodes with saturated lists are compared with their whole components later; `_leaving` audits those.
     """
-    audited = nodes.select("node", "label", "unit").join(saturated, "node", "left_anti").orderBy(F.xxhash64("node")).limit(_AUDITED).toArrow().to_pylist()
+    wanted = _AUDITED
+    while True:
+        drawn, total, found = _audit(links, nodes, saturated, threshold, wanted)
+        if total >= _SEEN or drawn < wanted:
+            break
+        if wanted >= _MOST_AUDITED:
+            warnings.warn(f"near_vectors: an audit of {drawn} vectors saw {total} true links, {found} of them known", stacklevel=2)
+            break
+        wanted *= 4
+    return found / total if total else 1.0
+
+
+def _audit(links: DataFrame, nodes: DataFrame, saturated: DataFrame, threshold: float, wanted: int) -> tuple[int, int, int]:
+    """Audited nodes, their true links, and those of these that are known."""
+    audited = nodes.select("node", "label", "unit").join(saturated, "node", "left_anti").orderBy(F.xxhash64("node")).limit(wanted).toArrow().to_pylist()
     sent = nodes.sparkSession.sparkContext.broadcast(audited)
 
     def against(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -397,7 +416,7 @@ def _recall(links: DataFrame, nodes: DataFrame, saturated: DataFrame, threshold:
     true = nodes.select("node", "label", "unit").mapInArrow(against, "a long, b long").distinct()
     known = links.withColumn("known", F.lit(1))
     total, found = true.join(known, ["a", "b"], "left").agg(F.count("*"), F.count("known")).first()
-    return found / total if total else 1.0
+    return len(audited), total, found
 
 
 def _leaving(named: DataFrame, nodes: DataFrame, saturated: DataFrame, threshold: float, turn: int) -> DataFrame:

@@ -1,6 +1,7 @@
 """NN-descent against brute force."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import vectors
 from ledgerlens.sources import Scratch
@@ -55,3 +56,14 @@ def test_crowds_that_no_stretch_joins(spark):
     assert links[:180].min() > 90
     assert [got[i].n_links for i in range(180)] == links[:180].tolist()
     assert {got[i].component_id for i in range(180)} == {0}
+
+
+def test_audit_goes_on_where_links_are_rare(spark):
+    ranked = [r.node for r in spark.range(1000).select(F.col("id").alias("node")).orderBy(F.xxhash64("id")).collect()]
+    x = np.random.default_rng(4).normal(size=(1000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(0, 60, 2):
+        x[ranked[300 + i]] = x[ranked[301 + i]]
+    nodes = spark.createDataFrame([(i, "0", v.tolist()) for i, v in enumerate(x)], "node long, label string, unit array<double>")
+    none = spark.createDataFrame([], "a long, b long")
+    assert vectors._recall(none, nodes, nodes.select("node").limit(0), 0.98) == 0
