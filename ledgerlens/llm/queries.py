@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import language, leaks, licences, mixing, near_copies, pages, passages, quality, tokens, vectors
+from ledgerlens.llm import bpe, language, leaks, licences, mixing, near_copies, pages, passages, quality, tokens, vectors
 from ledgerlens.sources import Scratch
 
 
@@ -80,6 +80,14 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(table(spark, sf_dir, "documents"), Scratch(spark, "licences"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every document and of the bytes that they decode to."""
+    import public_tokenizers
+
+    files = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), *files), *files))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op2_html_extraction": op2_html_extraction,
@@ -91,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_licence_scan": op10_licence_scan,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 # SQL that gives a query's rows, where SQL can express them.
