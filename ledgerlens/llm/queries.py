@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, language, leaks, licences, mixing, near_copies, pages, passages, quality, tokens, vectors
+from ledgerlens.llm import (
+    bpe,
+    language,
+    leaks,
+    licences,
+    mixing,
+    near_copies,
+    pages,
+    passages,
+    quality,
+    tokens,
+    vectors,
+    whitening,
+)
 from ledgerlens.sources import Scratch
 
 
@@ -80,6 +93,11 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(table(spark, sf_dir, "documents"), Scratch(spark, "licences"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings on their leading components, with unit variance."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), Scratch(spark, "whitening"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every document and of the bytes that they decode to."""
     import public_tokenizers
@@ -99,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_licence_scan": op10_licence_scan,
+    "op11_whitening": op11_whitening,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
