@@ -105,16 +105,21 @@ def test_inertia_counts_eigenvalues():
             assert counts.above(shift) == (values > shift).sum()
 
 
-def test_a_missed_component_is_noticed(monkeypatch):
-    """Without an eigenvector among the directions that the filter gives, the search does not end."""
-    m = np.diag([4.0, 3.0, 2.0, 1.0, 0.5, 0.2, 0.1, 0.05])
-    solve = np.linalg.solve
+def test_a_missed_component_is_found(monkeypatch):
+    """Where the filter loses an eigenvector, inertia tells, and the search goes on with more directions."""
+    m = np.diag([4.0, 3.0, 2.0, 1.0, 0.5, 0.2, 0.1, 0.05, *np.linspace(0.01, 0.04, 20)])
+    solve, calls = np.linalg.solve, []
 
     def blind(a, b):
+        calls.append(b.shape[1])
         x = solve(a, b)
         x[1] = 0
         return x
 
     monkeypatch.setattr(whitening.np.linalg, "solve", blind)
+    found = whitening._project(m, 1.5, 5.0, 3)
+    assert calls[0] == 8 and calls[-1] == len(m)
+    assert np.abs(np.abs(found).max(axis=1)[:3] - 1).max() < 1e-9 and found.shape[1] == 3
+    monkeypatch.setattr(whitening, "_ROUNDS", 5)
     with pytest.raises(ArithmeticError):
         whitening._project(m, 1.5, 5.0, 3)
