@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
     bpe,
+    collocations,
     language,
     leaks,
     licences,
@@ -98,6 +99,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), Scratch(spark, "whitening"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), Scratch(spark, "collocations"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every document and of the bytes that they decode to."""
     import public_tokenizers
@@ -118,8 +124,56 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_licence_scan": op10_licence_scan,
     "op11_whitening": op11_whitening,
+    "op12_collocations": op12_collocations,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
 # SQL that gives a query's rows, where SQL can express them.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op12_collocations": r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+),
+split AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+pieces AS (SELECT lang, [x FOR x IN string_split_regex(piece, '[ \t]+') IF x <> ''] AS w FROM split),
+counted AS MATERIALIZED (
+  SELECT lang, k, p, count(*) AS f
+  FROM (
+    SELECT lang, k, unnest([w[i:i + k - 1] FOR i IN range(1, len(w) - k + 2)]) AS p
+    FROM pieces, (VALUES (1), (2), (3), (4)) AS sizes(k)
+    WHERE len(w) >= k
+  )
+  GROUP BY lang, k, p
+),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE k = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, k, p, f AS a FROM counted WHERE k > 1 AND f >= 30),
+inside AS (
+  SELECT lang, p[i:i + m - 1] AS p, max(a) AS longer
+  FROM candidates, (VALUES (2, 1), (2, 2), (2, 3), (3, 1), (3, 2)) AS parts(m, i)
+  WHERE m < k AND i + m - 1 <= k
+  GROUP BY lang, p[i:i + m - 1]
+),
+parted AS (
+  SELECT lang, p, a, cut, p[1:cut] AS front, p[cut + 1:] AS back
+  FROM candidates, (VALUES (1), (2), (3)) AS places(cut)
+  WHERE cut < k
+),
+cuts AS (
+  SELECT parted.lang, parted.p, a, cut, l.f AS l, r.f AS r, ((2000000::HUGEINT * a) // (l.f::HUGEINT + r.f))::BIGINT AS score
+  FROM parted
+  JOIN counted AS l ON l.lang = parted.lang AND l.p = front
+  JOIN counted AS r ON r.lang = parted.lang AND r.p = back
+),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+surviving AS (
+  SELECT lowest.lang, array_to_string(lowest.p, ' ') AS phrase, a, l, r, score
+  FROM lowest LEFT JOIN inside ON inside.lang = lowest.lang AND inside.p = lowest.p
+  WHERE NOT coalesce(100::HUGEINT * longer >= 80::HUGEINT * a, false)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM surviving JOIN totals USING (lang)
+QUALIFY rank <= 2000
+""",
+}
