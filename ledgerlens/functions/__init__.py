@@ -8,7 +8,7 @@ from ledgerlens.functions.columns import (
     positive_probability,
     threshold_label,
 )
-from ledgerlens.functions.metrics import METRICS, Metric
+from ledgerlens.functions.metrics import METRICS, Metric, haversine
 
 __all__ = [
     "METRICS",
@@ -17,6 +17,7 @@ __all__ = [
     "clock_hour",
     "guarded_ratio",
     "hash_bucket",
+    "haversine",
     "positive_probability",
     "threshold_label",
 ]

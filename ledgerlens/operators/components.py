@@ -61,15 +61,16 @@ def _contract(links: DataFrame, scratch: Scratch, chunk: int) -> DataFrame:
             held.append(batch)
             size += len(batch)
             if size >= chunk:
-                yield _stars(pd.concat(held))
+                yield contracted(pd.concat(held))
                 held, size = [], 0
         if size:
-            yield _stars(pd.concat(held))
+            yield contracted(pd.concat(held))
 
     return scratch.write(gathered.mapInPandas(stars_of_chunks, "child long, parent long"), "links")
 
 
-def _stars(links: pd.DataFrame) -> pd.DataFrame:
+def contracted(links: pd.DataFrame) -> pd.DataFrame:
+    """Stars (child, parent) that connect the same nodes as the links."""
     nodes, places = np.unique(links[["child", "parent"]].to_numpy().T, return_inverse=True)
     a, b = places.reshape(2, -1)
     root = np.arange(len(nodes))
