@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
-from ledgerlens.functions import threshold_label
+from ledgerlens.functions import haversine, threshold_label
 from ledgerlens.operators import boosting, classifiers, dbscan, evaluation, profile
 from ledgerlens.operators import projection, ranking, sampling, scaling, thresholds
 from ledgerlens.plans import studies
-from ledgerlens.plans.fixture import BUCKET, KEY, plane_points, transactions
+from ledgerlens.plans.fixture import BUCKET, KEY, globe_points, plane_points, transactions
 from ledgerlens.sources import Scratch, read_csv, read_csv_text, read_parquet, write_parquet
 from ledgerlens.sources.transactions import feature_arrays
 
@@ -23,6 +23,7 @@ QUERIES: dict[str, Query] = {}
 # give core, border and noise points.
 PLANE = {"eps": 0.012, "min_pts": 10}
 SPACE = {"eps": 0.8, "min_pts": 10}
+GLOBE = {"eps": 100.0, "min_pts": 10}
 SAMPLE = 2_000
 
 
@@ -131,6 +132,12 @@ def eps_neighbors(spark, folder):
     return dbscan.neighbour_counts(points, "id", ["x", "y"], PLANE["eps"])
 
 
+@query
+def haversine_neighbors(spark, folder):
+    """Neighbours by a distance that is only known as a function."""
+    return dbscan.neighbour_counts(globe_points(spark, folder), "id", ["lat", "lon"], GLOBE["eps"], haversine)
+
+
 # Descriptive statistics
 
 
@@ -255,6 +262,11 @@ def dbscan_noise(spark, folder):
     return dbscan.noise_points(plane_points(spark, folder), "id", _plane_clusters(spark, folder))
 
 
+@query
+def haversine_clusters(spark, folder):
+    return dbscan.dbscan(globe_points(spark, folder), "id", ["lat", "lon"], **GLOBE, metric=haversine)
+
+
 @query
 def dbscan_transactions(spark, folder):
     return dbscan.dbscan(transactions(spark, folder), KEY, S.MODEL_FEATURES, **SPACE)

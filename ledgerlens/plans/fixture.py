@@ -50,3 +50,13 @@ def plane_points(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("user_id") / F.lit(150.0)).alias("x"),
         (F.col("value") / F.lit(500.0)).alias("y"),
     )
+
+
+def globe_points(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event as a place on the globe: latitude by user, longitude by amount."""
+    events = spark.read.parquet(f"{folder}/events.parquet").select(KEY, "user_id", "value")
+    return spread_rows(events, KEY).select(
+        F.col(KEY).alias("id"),
+        (F.col("user_id") / F.lit(1.25) - 60).alias("lat"),
+        (F.col("value") / F.lit(500.0) * 360 - 180).alias("lon"),
+    )

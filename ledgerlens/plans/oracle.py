@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ledgerlens import schema as S
-from ledgerlens.plans.catalogue import PLANE, SAMPLE, SPACE
+from ledgerlens.plans.catalogue import GLOBE, PLANE, SAMPLE, SPACE
 
 FEATURES = S.MODEL_FEATURES
 
@@ -120,15 +120,22 @@ _SCORES = _BAYES + [
 ]
 
 
-def _clusters(points: str, coords: list[str], eps: float, min_pts: int, reach: str) -> list[str]:
-    """Brute-force DBSCAN of the relation `points` (id, coordinates); `reach` narrows the join."""
+def _clusters(
+    points: str, coords: list[str], eps: float, min_pts: int, reach: str, apart: float | None = None, within: str | None = None
+) -> list[str]:
+    """Brute-force DBSCAN of the relation `points` (id, coordinates).
+
+    The join is narrowed to points that differ by at most `apart` in `reach`; `within` tells near pairs if not the coordinates.
+    """
     square = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in coords)
+    apart = eps * 1.001 if apart is None else apart
+    within = within or f"{square} <= {eps}::double * {eps}::double"
     return [
         f"points AS MATERIALIZED ({points})",
         f"""near AS MATERIALIZED (
   SELECT a.id AS a, b.id AS b FROM points a JOIN points b
-    ON b.{reach} BETWEEN a.{reach} - {eps * 1.001} AND a.{reach} + {eps * 1.001}
-  WHERE {square} <= {eps}::double * {eps}::double
+    ON b.{reach} BETWEEN a.{reach} - {apart} AND a.{reach} + {apart}
+  WHERE {within}
 )""",
         f"core AS MATERIALIZED (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= {min_pts})",
         """links AS MATERIALIZED (
@@ -156,6 +163,12 @@ def _clusters(points: str, coords: list[str], eps: float, min_pts: int, reach: s
 
 _PLANE_POINTS = "SELECT event_id AS id, user_id / 150.0::double AS x, value / 500.0::double AS y FROM events"
 _PLANE = _clusters(_PLANE_POINTS, ["x", "y"], PLANE["eps"], PLANE["min_pts"], "x")
+_GLOBE_POINTS = """SELECT event_id AS id, user_id / 1.25::double - 60 AS lat, value / 500.0::double * 360 - 180 AS lon FROM events"""
+_KM = """2 * 6371.0088::double * asin(sqrt(least(1.0::double, pow(sin((radians(a.lat) - radians(b.lat)) / 2), 2)
+  + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin((radians(a.lon) - radians(b.lon)) / 2), 2))))"""
+_GLOBE = _clusters(
+    _GLOBE_POINTS, ["lat", "lon"], GLOBE["eps"], GLOBE["min_pts"], "lat", 1.0, f"{_KM} <= {GLOBE['eps']}::double"
+)
 _SPACE_POINTS = f"SELECT event_id AS id, {', '.join(FEATURES)} FROM txn"
 _SPACE = _clusters(_SPACE_POINTS, FEATURES, SPACE["eps"], SPACE["min_pts"], "Amount")
 
@@ -211,6 +224,8 @@ ORACLE: dict[str, str] = {
         TXN, tail="SELECT event_id, Class, row_number() OVER (ORDER BY event_id) - 1 AS row_index FROM txn"
     ),
     "eps_neighbors": _with(*_PLANE[:2], tail="SELECT a AS id, count(*) AS neighbours FROM near GROUP BY a"),
+    "haversine_neighbors": _with(*_GLOBE[:2], tail="SELECT a AS id, count(*) AS neighbours FROM near GROUP BY a"),
+    "haversine_clusters": _with(*_GLOBE, recursive=True, tail="SELECT * FROM clusters"),
     "row_counts": _with(
         TXN,
         tail="""SELECT count(*) AS total, count(*) FILTER (Class = 1) AS positives,
