@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -141,3 +142,25 @@ def test_dense_net_gradient():
 @pytest.mark.parametrize("family", ["linear_svc", "logistic_regression", "decision_tree"])
 def test_families_learn(scaled, family):
     assert _f1(classifiers.fit(classifiers.FAMILIES[family](), scaled), scaled) > 0.8
+
+
+def test_cuts_of_a_level_are_the_best_gains(spark):
+    random = np.random.default_rng(5)
+    x = random.normal(size=(600, 5)).round(1)
+    rows = spark.createDataFrame([(v.tolist(), float(v[0] > 0.2) if i % 9 else float(v[1] > 0)) for i, v in enumerate(x)], "x array<double>, y double")
+    table = boosting.binned(rows.repartition(4), "x", "y", boosting.bin_edges(rows, "x", 5, 8)).cache()
+    tree = boosting.Tree(feature={0: 1}, cut={0: 3}, value={1: 0.3, 2: -0.1})
+    newer = [boosting.Tree(feature={0: 0}, cut={0: 2}, value={1: -0.5, 2: 0.4})]
+    where = (newer, tree, [0, 2, 3], 1, 2, (3, 1, 0.7))
+    want = {r.node: r for r in boosting.best_splits(boosting.split_gains(boosting.level_histogram(table, 5, 8, *where), 0.5, 0.1, 2.0)).collect()}
+    got = {r.node: r for r in boosting.level_cuts(table, 5, 8, *where, 0.5, 0.1, 2.0).collect()}
+    assert set(got) == set(want) == {1, 2}
+    for node, cut in got.items():
+        assert (cut.feature, cut.bin) == (want[node].feature, want[node].bin)
+        assert np.allclose([cut[c] for c in ("gain", "gl", "hl", "g", "h")], [want[node][c] for c in ("gain", "gl", "hl", "g", "h")], atol=1e-9)
+
+
+def test_no_rows_to_boost(spark):
+    none = spark.createDataFrame([], "features array<double>, label double").select(array_to_vector("features").alias("features"), "label")
+    with pytest.raises(ValueError, match="no rows"):
+        boosting.BoostedTrees().fit(none)
