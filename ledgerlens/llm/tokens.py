@@ -36,14 +36,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.kept import kept
 from ledgerlens.sources import Scratch
 
 MAGIC = b"TOKREC01"
 _HEAD, _SUM, _BODY = "<Q", "<I", "<qBB"
 # A shard file ends with the record that reaches this size.
 SHARD_BYTES = 32 << 20
-# Pieces of text whose ids a worker keeps, in each of two generations.
-_KEPT = 700_000
+# Pieces of text whose ids a worker keeps from task to task, in each of two generations.
+_KEPT = 200_000
 # Characters that are encoded at a time.
 _AT_ONCE = 1 << 20
 
@@ -122,15 +123,9 @@ class Encoder:
         return [array(self._code, x.ids).tobytes() for x in found]
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
-
-
 def encoder(path: str, end_id: int | None, by_piece: bool = True) -> Encoder:
-    """The worker's encoder, loaded once."""
-    key = (path, end_id, by_piece)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, end_id, by_piece)
-    return _ENCODERS[key]
+    """The worker's encoder, loaded once for all its tasks, with the pieces it has met."""
+    return kept(("encoder", path, end_id, by_piece), lambda: Encoder(path, end_id, by_piece))
 
 
 def record(doc_id: int | None, ids: bytes, width: int) -> bytes:
