@@ -38,7 +38,7 @@ NO_LANG = "und"
 # Phrases above the first mark of a language, about, in multiples of the rows that are wanted, and growth from mark to mark.
 _FIRST, _MORE = 2, 8
 # Steps in which marks are looked for, bytes of text in a chunk, largest filter in bits, keys of a language's rows.
-_STEP, _CHUNK, _BITS, _SALTS = 1000, 2 << 20, 1 << 28, 64
+_STEP, _CHUNK, _BITS, _SALTS = 1000, 1 << 20, 1 << 28, 64
 
 _BLANK, _BREAK = 1, 2
 _KIND = np.zeros(256, dtype=np.uint8)
