@@ -10,12 +10,14 @@ sample of labelled documents, so it can be sent to all tasks.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,7 +121,11 @@ class Model:
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, probability)."""
         found = Counter(_LETTERS.findall((text or "").lower()))
-        words = {w: n for w, n in found.items() if w.isalpha()}
+        words: Counter[str] = Counter()
+        for run, n in found.items():
+            # A run may hold signs that the pattern takes for letters, such as a raised two.
+            for w in [run] if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split():
+                words[w] += n
         if not words or not self.langs:
             return UNKNOWN, 0.0
         if len(self._places) > _KEPT:
@@ -138,12 +144,14 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     A text that is null or has no letters gives `und` with score 0; so does any
     text where nothing could be learned. Languages that tie go by their names.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # Pickled with the code of its class, as executors need not have this package.
+    sent = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = pickle.loads(sent.value)
         for batch in batches:
-            found = [sent.value.predict(x.as_py()) for x in batch["text"]]
+            found = [own.predict(x.as_py()) for x in batch["text"]]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["held_out"], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
                 names=["doc_id", "held_out", "lang_pred", "score"],

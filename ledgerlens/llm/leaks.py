@@ -17,12 +17,14 @@ block is laid against all documents where they lie, without a shuffle.
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,14 +90,17 @@ def _blocks(benchmark: DataFrame) -> Iterator[tuple[list[int | None], list[bytes
 
 def _search(spark, block: tuple[list, list[bytes]], percent: int, radius: int):
     """An Arrow function from texts to what they hold of the block's items."""
-    items = spark.sparkContext.broadcast(Items.of(*block, radius))
+    # Pickled with the code of its class, as executors need not have this package.
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(Items.of(*block, radius)))
 
     @F.arrow_udf(_FOUND)
-    def found(texts: pa.Array) -> pa.Array:
-        out: list[list[dict]] = []
-        for run in words(texts):
-            out += items.value.in_texts(run, percent)
-        return pa.array(out, _ARROW)
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        items = pickle.loads(sent.value)
+        for texts in batches:
+            out: list[list[dict]] = []
+            for run in words(texts):
+                out += items.in_texts(run, percent)
+            yield pa.array(out, _ARROW)
 
     return found
 

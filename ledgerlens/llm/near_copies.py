@@ -18,7 +18,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +25,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.columns import column, free_names
+from ledgerlens.llm.kept import kept
 from ledgerlens.llm.words import SHINGLE, mixed, shingle_sets
 from ledgerlens.operators.components import connected_components
 from ledgerlens.sources import Scratch
@@ -47,9 +48,12 @@ class Banding:
         return self.bands * self.rows
 
 
-@lru_cache(maxsize=4)
 def _probes(bins: int, seed: int, tries: int) -> np.ndarray:
     """For each bin, the bins it looks at for a value, one after another."""
+    return kept(("probes", bins, seed, tries), lambda: _drawn(bins, seed, tries))
+
+
+def _drawn(bins: int, seed: int, tries: int) -> np.ndarray:
     at = np.arange(bins, dtype=np.uint64)[:, None] * np.uint64(1 << 20) + np.arange(tries, dtype=np.uint64)
     return (mixed(at + np.uint64(seed * 2654435761)) % np.uint64(bins)).astype(np.int64)
 
@@ -103,8 +107,49 @@ def near_copies(
     is kept. Rows with one id are documents of their own; equal rows are equal.
     Further columns are not read.
     """
-    ids, text = F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")
-    source = docs.select(ids, text)
+    found = _grouped(docs, scratch, percent, banding, id_col, text_col, shingle)
+    result = found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def one_of_each(
+    docs: DataFrame,
+    scratch: Scratch,
+    percent: int = 85,
+    banding: Banding = Banding(),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+) -> DataFrame:
+    """The rows with all their columns, of each group of near copies only one: of the smallest id, and of its texts
+    the one of the smallest digest.
+
+    Rows without words or id are in no group and stay. Rows that share an id but
+    hold texts of different groups stay each; of rows with one id and one text,
+    which are copies, an arbitrary one stays.
+    """
+    mark, chosen, alone, other, text_mark = free_names(docs, "mark", "chosen", "alone", "other_id", "other_mark")
+    digest = F.md5(column(docs, text_col).cast("binary"))
+    found = _grouped(docs, scratch, percent, banding, id_col, text_col, shingle)
+    grouped = found.filter("root IS NOT NULL").select("doc_id", "mark", "root").distinct()
+    first = grouped.groupBy("root").agg(F.min(F.struct("doc_id", "mark")).alias("first"))
+    states = grouped.join(first, "root").select(
+        F.col("doc_id").alias(other), F.col("mark").alias(text_mark), (F.struct("doc_id", "mark") == F.col("first")).alias(chosen)
+    )
+    own = column(docs, id_col).cast("long")
+    marked = docs.filter(own.isNotNull()).withColumn(mark, F.coalesce(digest, F.lit("")))
+    joined = marked.join(states, (own == F.col(other)) & (F.col(mark) == F.col(text_mark)), "left")
+    # Rows in no group are told apart, so that only copies of a chosen row fall away.
+    joined = joined.filter(F.coalesce(F.col(chosen), F.lit(True)))
+    joined = joined.withColumn(alone, F.when(F.col(chosen).isNull(), F.monotonically_increasing_id()))
+    stays = joined.dropDuplicates([id_col, mark, alone])
+    return stays.select(*(column(stays, c) for c in docs.columns)).unionByName(docs.filter(own.isNull()))
+
+
+def _grouped(docs, scratch: Scratch, percent: int, banding: Banding, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(doc_id, mark, n_shingles, root, component_id) of every row: the digest of its text, its group and the group's smallest id."""
+    text = column(docs, text_col).cast("binary")
+    source = docs.select(column(docs, id_col).cast("long").alias("doc_id"), text.alias("text"), F.coalesce(F.md5(text), F.lit("")).alias("mark"))
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,11 +159,11 @@ def near_copies(
                 nodes.append(_node(found))
                 keys.append(band_keys(found, banding) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "node", "keys"],
+                [batch["doc_id"], batch["mark"], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc_id", "mark", "n_shingles", "node", "keys"],
             )
 
-    rows = "doc_id long, n_shingles long, node long, keys array<long>"
+    rows = "doc_id long, mark string, n_shingles long, node long, keys array<long>"
     signed = scratch.write(source.mapInArrow(sign, rows), "signed")
     linked_rows = signed.filter("node IS NOT NULL AND doc_id IS NOT NULL")
     classes = scratch.write(
@@ -139,7 +184,7 @@ def near_copies(
 
     # Sets of classes that have a candidate, one document for each class.
     wanted = classes.join(shared.select("node").distinct(), "node", "left_semi").select(F.col("first").alias("doc_id"))
-    sets = source.join(wanted, "doc_id", "left_semi").mapInArrow(shingles_of, "node long, shingles array<long>")
+    sets = source.drop("mark").join(wanted, "doc_id", "left_semi").mapInArrow(shingles_of, "node long, shingles array<long>")
     sets = scratch.write(sets.dropDuplicates(["node"]), "sets")
 
     members = scratch.write(_members(shared, sets, percent), "members")
@@ -149,10 +194,9 @@ def near_copies(
     named = classes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = scratch.write(named, "named")
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    component = named.join(smallest, "root").select("node", "component_id")
+    component = named.join(smallest, "root").select("node", "root", "component_id")
     alone = signed.withColumn("node", F.when(F.col("doc_id").isNotNull(), F.col("node"))).join(component, "node", "left")
-    result = alone.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return alone.select("doc_id", "mark", "n_shingles", "root", "component_id")
 
 
 def _node(hashes: np.ndarray) -> int | None:

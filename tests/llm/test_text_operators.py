@@ -143,6 +143,18 @@ def test_near_copies(spark):
     assert near_copies.near_copies(documents(spark, []), Scratch(spark, "n")).count() == 0
 
 
+def test_one_document_of_each_group(spark):
+    a, b = prose(1, 80), prose(2, 80)
+    near = " ".join([*a.split()[:-1], "end"])
+    rows = [(1, a, "en", "s"), (1, b, "en", "s"), (1, a, "en", "t"), (2, near, "en", "s"), (3, b, "en", "s"), (4, prose(3, 80), "en", "s")]
+    rows += [(5, None, "en", "s"), (5, "", "en", "s"), (5, "", "en", "s"), (6, "", "en", "s"), (None, a, "en", "s"), (None, a, "en", "s")]
+    docs = documents(spark, rows).withColumn("mark", F.lit("m"))
+    stays = near_copies.one_of_each(docs, Scratch(spark, "n"))
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.text or "") for r in stays.collect())
+    assert got == sorted([(1, a), (1, b), (4, prose(3, 80)), (5, ""), (5, ""), (5, ""), (6, ""), (-1, a), (-1, a)])
+    assert stays.columns == docs.columns and near_copies.one_of_each(docs.limit(0), Scratch(spark, "n")).count() == 0
+
+
 def test_leaks_match_brute_force(spark):
     items = [(i, prose(50 + i, 20 + 3 * i)) for i in range(8)] + [(8, "one two three"), (9, None), (10, "")]
     rows = []
@@ -229,6 +241,7 @@ def test_language(spark):
             assert r.lang_pred == ("und" if i >= 300 else "de" if i % 2 else "en")
     assert got[None].lang_pred == "de" and not got[None].held_out
     assert model.predict("schsch")[0] == "de"
+    assert [model.predict(t)[0] for t in ("the²", "mⅧ the", "²", "Ⅷ ³")] == ["en", "en", "und", "und"]
     nothing = language.train(docs.limit(0), F.lit(True))
     assert nothing.predict("the")[0] == "und"
 
