@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import leaks, mixing, near_copies, quality, queries, tokens
-from ledgerlens.llm.columns import column, free_names
+from ledgerlens.llm.columns import column
 from ledgerlens.sources import Scratch
 
 
@@ -22,12 +22,8 @@ def reject_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that of the smallest id; one row of those that repeat it."""
-    found = near_copies.near_copies(docs, Scratch(spark, "near-copies"))
-    (name,) = free_names(docs, "kept_id")
-    kept = found.filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(name)).distinct()
-    stays = docs.join(kept, F.col("doc_id") == F.col(name), "left_semi").dropDuplicates(["doc_id"])
-    return stays.unionByName(docs.filter("doc_id IS NULL"))
+    """One document of each group of near copies, that of the smallest id; rows that share an id but not a group all stay."""
+    return near_copies.one_of_each(docs, Scratch(spark, "near-copies"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
