@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
 from ledgerlens.functions import haversine, threshold_label
-from ledgerlens.operators import boosting, classifiers, dbscan, evaluation, profile
+from ledgerlens.operators import boosting, classifiers, cuts, dbscan, evaluation, profile
 from ledgerlens.operators import projection, ranking, sampling, scaling, thresholds
 from ledgerlens.plans import studies
 from ledgerlens.plans.fixture import BUCKET, KEY, globe_points, plane_points, transactions
@@ -25,6 +25,8 @@ PLANE = {"eps": 0.012, "min_pts": 10}
 SPACE = {"eps": 0.8, "min_pts": 10}
 GLOBE = {"eps": 100.0, "min_pts": 10}
 SAMPLE = 2_000
+# Features of the model whose parameters SQL finds too.
+FITTED = ("V3", "V7")
 
 
 def query(fn: Query) -> Query:
@@ -233,7 +235,36 @@ def minmax_scale(spark, folder):
 @query
 def pca_2d(spark, folder):
     sample = sampling.sample_exact(transactions(spark, folder), 20_000, KEY)
-    return projection.project(sample, [KEY, "Class"])
+    return projection.project(sample, [KEY, "Class"]).select(KEY, "Class", *rounded("pc1", "pc2", places=3))
+
+
+# Models that SQL can fit as well
+
+
+@query
+def tree_root_cut(spark, folder):
+    """The first cut of a tree for every feature, by both impurities."""
+    binned = cuts.levels(transactions(spark, folder), ["Class"])
+    found = [cuts.best_cuts(binned, impurity=kind).withColumn("impurity", F.lit(kind)) for kind in ("gini", "entropy")]
+    return found[0].unionByName(found[1]).select("impurity", "feature", "cut", *rounded("gain"), "below", "above")
+
+
+@query
+def decision_tree_root(spark, folder):
+    """The root that the fitted tree chooses among all features, where classes are balanced."""
+    binned = cuts.levels(sampling.undersample(transactions(spark, folder), KEY, "Class"), ["Class"])
+    return cuts.fitted_cut(binned).select("feature", "cut", *rounded("gain"))
+
+
+@query
+def logistic_regression_fit(spark, folder):
+    """Parameters of a fitted logistic regression on two features, without a penalty."""
+    table = scaling.assembler(list(FITTED)).transform(transactions(spark, folder))
+    settings = {"featuresCol": "raw", "labelCol": "Class", "tol": 1e-12, "maxIter": 500}
+    model = classifiers.logistic_regression(**settings).fit(table)
+    found = dict(zip(FITTED, model.coefficients.toArray().tolist())) | {"intercept": model.intercept}
+    rows = F.array(*(F.struct(F.lit(n).alias("parameter"), F.lit(v).alias("value")) for n, v in found.items()))
+    return spark.range(1).select(F.inline(rows)).select("parameter", *rounded("value", places=3))
 
 
 # Clustering

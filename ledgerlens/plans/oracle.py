@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ledgerlens import schema as S
-from ledgerlens.plans.catalogue import GLOBE, PLANE, SAMPLE, SPACE
+from ledgerlens.plans.catalogue import FITTED, GLOBE, PLANE, SAMPLE, SPACE
 
 FEATURES = S.MODEL_FEATURES
 
@@ -209,6 +209,93 @@ _LEVEL = [
 )""",
 ]
 
+_LEVELS = """levels AS MATERIALIZED (
+  SELECT l.feature, l.Class AS c,
+    CASE WHEN lo = hi THEN 0 ELSE least(floor((v - lo) * 16.0::double / (hi - lo)), 15) END::double AS level
+  FROM long l JOIN (SELECT feature, min(v) AS lo, max(v) AS hi FROM long GROUP BY feature) s USING (feature)
+),
+tried AS (
+  SELECT feature, (level + lead(level) OVER w) / 2 AS cut, n_all, p_all, n_below, p_below, n_all - n_below AS n_above, p_all - p_below AS p_above
+  FROM (
+    SELECT feature, level, sum(n) OVER (PARTITION BY feature) AS n_all, sum(p) OVER (PARTITION BY feature) AS p_all,
+      sum(n) OVER (PARTITION BY feature ORDER BY level) AS n_below, sum(p) OVER (PARTITION BY feature ORDER BY level) AS p_below
+    FROM (SELECT feature, level, count(*)::double AS n, sum(c)::double AS p FROM levels GROUP BY feature, level)
+  ) WINDOW w AS (PARTITION BY feature ORDER BY level)
+),
+shares AS (SELECT *, p_all / n_all AS a, p_below / n_below AS b, p_above / n_above AS d FROM tried WHERE cut IS NOT NULL),
+gains AS (
+  SELECT 'gini' AS impurity, feature, cut, n_below, n_above,
+    2 * a * (1 - a) - n_below / n_all * 2 * b * (1 - b) - n_above / n_all * 2 * d * (1 - d) AS gain FROM shares
+  UNION ALL
+  SELECT 'entropy', feature, cut, n_below, n_above, bits(a) - n_below / n_all * bits(b) - n_above / n_all * bits(d) FROM shares
+),
+cuts AS (
+  SELECT * FROM gains QUALIFY row_number() OVER (PARTITION BY impurity, feature ORDER BY round(gain, 12) DESC, cut) = 1
+)"""
+for _p in "abd":
+    _LEVELS = _LEVELS.replace(
+        f"bits({_p})",
+        f"(CASE WHEN {_p} > 0 THEN -{_p} * log2({_p}) ELSE 0 END + CASE WHEN {_p} < 1 THEN -(1 - {_p}) * log2(1 - {_p}) ELSE 0 END)",
+    )
+
+# Newton's method for two features and an intercept; the 3 x 3 system is solved by Cramer's rule.
+_NEWTON = f"""points AS MATERIALIZED (SELECT {FITTED[0]} AS x, {FITTED[1]} AS y, Class::double AS c FROM txn),
+newton AS (
+  SELECT 0 AS k, 0.0::double AS w0, 0.0::double AS w1, 0.0::double AS w2
+  UNION ALL
+  SELECT k + 1,
+    w0 + (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / det,
+    w1 + (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / det,
+    w2 + (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / det
+  FROM (
+    SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS det
+    FROM (
+      SELECT k, w0, w1, w2, sum(c - p) AS g0, sum((c - p) * x) AS g1, sum((c - p) * y) AS g2, sum(q) AS h00, sum(q * x) AS h01,
+        sum(q * y) AS h02, sum(q * x * x) AS h11, sum(q * x * y) AS h12, sum(q * y * y) AS h22
+      FROM (
+        SELECT *, p * (1 - p) AS q
+        FROM (SELECT *, 1.0::double / (1 + exp(-(w0 + w1 * x + w2 * y))) AS p FROM newton CROSS JOIN points WHERE k < 15)
+      ) GROUP BY k, w0, w1, w2
+    )
+  )
+)"""
+
+
+def _leading(name: str, matrix: str) -> str:
+    """The leading unit eigenvector (i, v) of a relation (i, j, x): squared often, all columns of the matrix point along it."""
+    return f"""{name}_powers AS (
+  SELECT 0 AS k, i, j, x FROM {matrix}
+  UNION ALL
+  SELECT k + 1, i, j, x / sum(CASE WHEN i = j THEN x END) OVER ()
+  FROM (
+    SELECT a.k, a.i, b.j, sum(a.x * b.x) AS x FROM {name}_powers a JOIN {name}_powers b ON a.j = b.i WHERE a.k < 40 GROUP BY a.k, a.i, b.j
+  )
+),
+{name} AS (
+  SELECT i, x / sqrt(sum(x * x) OVER ()) * sign(first_value(x) OVER (ORDER BY abs(x) DESC)) AS v
+  FROM {name}_powers p
+  WHERE k = 40 AND j = (SELECT i FROM {name}_powers WHERE k = 40 AND i = j ORDER BY x DESC LIMIT 1)
+)"""
+
+
+_PCA = [
+    "sample AS MATERIALIZED (SELECT * FROM txn ORDER BY md5('42|' || event_id::varchar), event_id LIMIT 20000)",
+    f"""centred AS MATERIALIZED (
+  SELECT event_id, Class, feature AS i, v - avg(v) OVER (PARTITION BY feature) AS v
+  FROM (UNPIVOT (SELECT event_id, Class, {', '.join(FEATURES)} FROM sample) ON {', '.join(FEATURES)} INTO NAME feature VALUE v)
+)""",
+    """matrix AS MATERIALIZED (
+  SELECT a.i, b.i AS j, sum(a.v * b.v) / (SELECT count(*) - 1 FROM sample) AS x
+  FROM centred a JOIN centred b USING (event_id) GROUP BY a.i, b.i
+)""",
+    _leading("first", "matrix"),
+    """rest AS MATERIALIZED (
+  SELECT m.i, m.j, m.x - (SELECT sum(m.x * a.v * b.v) FROM matrix m JOIN first a ON a.i = m.i JOIN first b ON b.i = m.j) * a.v * b.v AS x
+  FROM matrix m JOIN first a ON a.i = m.i JOIN first b ON b.i = m.j
+)""",
+    _leading("second", "rest"),
+]
+
 ORACLE: dict[str, str] = {
     "scan_csv": _with(TXN, tail="SELECT * EXCLUDE (b) FROM txn"),
     "scan_csv_text": _with(TXN, tail="SELECT * EXCLUDE (b) FROM txn"),
@@ -259,6 +346,36 @@ WHERE x.feature NOT IN ('V28', 'Amount') AND y.feature NOT IN ('V28', 'Amount')
         TXN,
         tail=f"SELECT event_id, Class FROM txn ORDER BY md5('42|' || event_id::varchar), event_id LIMIT {SAMPLE}",
     ),
+    "tree_root_cut": _with(
+        TXN,
+        _LONG,
+        _LEVELS,
+        tail=f"SELECT impurity, feature, cut, {_r('gain', 'gain')}, n_below::bigint AS below, n_above::bigint AS above FROM cuts",
+    ),
+    "decision_tree_root": _with(
+        TXN,
+        "pool AS (SELECT event_id, Class AS label FROM txn)",
+        _UNDER,
+        _LONG.replace("FROM txn)", "FROM txn SEMI JOIN kept USING (event_id))"),
+        _LEVELS,
+        tail=f"SELECT feature, cut, {_r('gain', 'gain')} FROM cuts WHERE impurity = 'gini' ORDER BY cuts.gain DESC LIMIT 1",
+    ),
+    "logistic_regression_fit": _with(
+        TXN,
+        _NEWTON,
+        tail=f"""SELECT parameter, round(value, 3) + 0.0::double AS value FROM (
+  UNPIVOT (SELECT w0 AS intercept, w1 AS {FITTED[0]}, w2 AS {FITTED[1]} FROM newton WHERE k = 15)
+  ON intercept, {FITTED[0]}, {FITTED[1]} INTO NAME parameter VALUE value
+)""",
+        recursive=True,
+    ),
+    "pca_2d": _with(
+        TXN,
+        *_PCA,
+        tail="""SELECT event_id, Class, round(sum(c.v * a.v), 3) + 0.0::double AS pc1, round(sum(c.v * b.v), 3) + 0.0::double AS pc2
+FROM centred c JOIN first a USING (i) JOIN second b USING (i) GROUP BY event_id, Class""",
+        recursive=True,
+    ),
     "fold_assignment": f"SELECT event_id, ({_word('fold')} % 3)::int AS fold FROM events",
     "undersample": _with(
         TXN, "pool AS (SELECT event_id, Class AS label FROM txn)", _UNDER, tail="SELECT event_id, label FROM kept"
