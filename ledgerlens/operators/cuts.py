@@ -23,10 +23,10 @@ def levels(df: DataFrame, keep: Sequence[str], features: Sequence[str] = S.MODEL
     for c, v in values.items():
         lo, hi = ends[f"lo_{c}"], ends[f"hi_{c}"]
         if lo is None or lo == hi:
-            level = F.when(v.isNotNull(), 0)
+            level = F.lit(0)
         else:
             level = F.least(F.floor((v - lo) * F.lit(float(bins)) / (F.lit(hi) - F.lit(lo))), F.lit(bins - 1))
-        columns.append(level.cast("double").alias(c))
+        columns.append(F.when(v.isNotNull(), level.cast("double")).alias(c))
     return df.select(*keep, *columns)
 
 
