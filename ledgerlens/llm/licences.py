@@ -7,7 +7,8 @@ paragraphs of the corpus that share no three words in a row with a template.
 A temperature fitted on paragraphs that were held out of the fit calibrates
 its probabilities. A prediction counts when its probability is high enough and
 the paragraph holds enough of the three-word shingles of one of the family's
-templates.
+templates, more than of any other family's, with the same words that tell
+families apart (such as `Lesser` or `NoDerivatives`) and the family's version.
 
 A paragraph is a line, or the lines that a notice is wrapped over: lines without
 a blank one between them are joined where a shingle of a template runs from one
@@ -19,13 +20,16 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer, VectorAssembler
+from pyspark.ml.feature import RegexTokenizer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,16 +41,29 @@ UNKNOWN = "unknown"
 # a template, those of the smallest hashes.
 SAMPLE = 4000
 _HASHES = 1 << 62
-_HASHED = 1 << 12
+_HASHED_BITS = 12
 # What a variant of a template weighs against a paragraph of the corpus, of which there are many more.
 _WEIGHT = 10.0
 _SHINGLE = 3
+_FEATURES = _SHINGLE << _HASHED_BITS
+# Words that are hashed at a time, and words whose codes a task keeps.
+_BLOCK, _KEPT = 1 << 15, 1 << 18
 # Words from the start of a shingle to that of the next one of a notice, at most, and words more or less than in the template.
 _APART, _CHANGED = 8, 2
 _WORD = re.compile(r"[^\W_]+")
+# Words around a notice that belong to it, and words behind it that may name its version.
+_AROUND, _BEHIND = 2, 20
+
+# Words that tell families apart, and words that may follow a notice which is no sentence of its own.
+_TELLING = frozenset("lesser library affero lgpl agpl nd noderivatives noderivs nc noncommercial sa sharealike".split())
+_FOLLOWING = frozenset("by worldwide under throughout to in unless except".split())
 
 # Notices by which works are put under a licence.
 TEMPLATES: dict[str, list[str]] = {
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
@@ -65,15 +82,35 @@ TEMPLATES: dict[str, list[str]] = {
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "Licensed under CC BY-NC 4.0.",
     ],
+    "CC-BY-NC-ND": [
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+        "Licensed under CC BY-NC-ND 4.0.",
+    ],
+    "CC-BY-NC-SA": [
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+        "Licensed under CC BY-NC-SA 4.0.",
+    ],
+    "CC-BY-ND": [
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "Licensed under CC BY-ND 4.0.",
+    ],
     "CC-BY-SA": [
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
         "Licensed under CC BY-SA 4.0.",
     ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+    ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+    ],
     "MIT": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
@@ -99,39 +136,185 @@ def licences(
     """(doc_id, paragraph, licence, probability, cover, confirmed): paragraphs (by their first lines, from 0) that a family is predicted for.
 
     `cover` is the share of the three-word shingles of the family's best
-    template that the paragraph holds; `confirmed` asks for `least_cover`.
-    Paragraphs of the unknown class give no row, so null and empty texts give
-    none. Equal rows give equal rows, null ids stay null. Further columns are
-    not read.
+    template that the paragraph holds. `confirmed` asks for `least_cover`, for
+    no less cover than any other family's, for the words around the notice that
+    tell families apart to be those of the template, and for the version of the
+    family's name, if it has one. Paragraphs of the unknown class give no row, so
+    null and empty texts give none. Equal rows give equal rows, null ids stay
+    null. Further columns are not read. Long texts are hashed in blocks of words.
     """
-    lines = _paragraphs(docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).cast("string").alias("text")))
+    source = docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).cast("string").alias("text"))
     # A bound of how many different paragraphs there are; of those that are joined, it counts each line.
     marks = F.explode(F.split(column(docs, text_col), "\n")).alias("text")
     several = docs.select(marks).select(F.xxhash64("text").alias("mark")).distinct().count()
-    model, families, temperature = _fit(lines, scratch, sample, several)
-    # Rows travel through the classifier with few columns; the paragraph itself is compared with templates afterwards.
-    scored = model.transform(lines)
-    odds = F.transform(vector_to_array("l_raw"), lambda x: x / F.lit(temperature))
-    most = F.array_max(odds)
-    total = F.aggregate(odds, F.lit(0.0), lambda s, x: s + F.exp(x - most))
-    names = F.array(*(F.lit(f) for f in families))
-    best = F.element_at(names, F.array_position(odds, most).cast("int"))
-    predicted = scored.select("doc_id", "paragraph", "l_words", best.alias("licence"), (1 / total).alias("probability"))
-    predicted = predicted.filter((F.col("licence") != UNKNOWN) & (F.col("probability") >= least_probability))
-    own = _shingles("l_words")
-    found = predicted.withColumn("own", own).withColumn("cover", _cover(F.col("own")))
-    return found.select(
-        "doc_id", "paragraph", "licence", "probability", "cover", (F.col("cover") >= least_cover).alias("confirmed")
+    model, families, temperature = _fit(_paragraphs(source), scratch, sample, several)
+    fitted = model.stages[-1]
+    # One number per hashed n-gram and family: its size does not depend on the corpus.
+    sent = docs.sparkSession.sparkContext.broadcast(
+        (np.ascontiguousarray(fitted.coefficientMatrix.toArray().T), fitted.interceptVector.toArray(), temperature, families)
     )
+    places, firsts = _places()
 
-
-def _paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, paragraph, text) of the paragraphs that are not blank."""
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, biases, temperature, families = sent.value
+        codes: dict[str, int] = {}
+        for batch in batches:
+            rows, found = [], []
+            for row, text in enumerate(batch["text"]):
+                text = text.as_py()
+                if not text:
+                    continue
+                pieces = joined_lines(text, places, firsts)
+                for some, odds in _odds([piece for _, piece in pieces], codes, weights, biases):
+                    odds /= temperature
+                    best = odds.argmax(axis=1)
+                    sure = 1 / np.exp(odds - odds.max(axis=1, keepdims=True)).sum(axis=1)
+                    for k in np.flatnonzero((best > 0) & (sure >= least_probability)):
+                        at, piece = pieces[some + k]
+                        family = families[best[k]]
+                        rows.append(row)
+                        found.append((at, family, float(sure[k]), *_compare(piece, family, least_cover)))
+            columns = list(zip(*found)) or [[]] * 5
+            kinds = (pa.int32(), pa.string(), pa.float64(), pa.float64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"].take(pa.array(rows, pa.int64())), *(pa.array(list(c), t) for c, t in zip(columns, kinds))],
+                names=["doc_id", "paragraph", "licence", "probability", "cover", "confirmed"],
+            )
+
+    kind = source.schema["doc_id"].dataType.simpleString()
+    return source.mapInArrow(read, f"doc_id {kind}, paragraph int, licence string, probability double, cover double, confirmed boolean")
+
+
+def _keys(codes: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """Sorted different owner * _FEATURES + feature of the n-grams of words of one owner."""
+    keys, mixed = [], codes
+    for n in range(_SHINGLE):
+        if n:
+            mixed = mixed[:-1] * np.uint64(0x9E3779B97F4A7C15) + codes[n:]
+        starts = owners[: max(0, len(owners) - n)]
+        spread = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        bins = (spread >> np.uint64(64 - _HASHED_BITS)).astype(np.int64)
+        keys.append((starts * _FEATURES + ((n << _HASHED_BITS) + bins))[owners[n:] == starts])
+    return np.unique(np.concatenate(keys))
+
+
+def _codes(words: list[str], known: dict[str, int]) -> np.ndarray:
+    if len(known) > _KEPT:
+        known.clear()
+    for word in set(words) - known.keys():
+        known[word] = zlib.crc32(word.encode("utf-8", "surrogatepass")) + 1
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+
+def _features(text: str, known: dict[str, int]) -> np.ndarray:
+    """The different features of a paragraph, in order; its words are hashed in blocks."""
+    words = _WORD.findall(text.lower())
+    found = []
+    for k in range(0, max(1, len(words)), _BLOCK):
+        codes = _codes(words[k : k + _BLOCK + _SHINGLE - 1], known)
+        found.append(_keys(codes, np.zeros(len(codes), np.int64)))
+    return np.unique(np.concatenate(found)) if len(found) > 1 else found[0]
+
+
+def _odds(pieces: list[str], known: dict[str, int], weights: np.ndarray, biases: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(number of the first piece, scores of each family for it and the pieces behind it), some thousand words at a time."""
+    begin, words, owners = 0, [], []
+
+    def scores(keys: np.ndarray, n: int) -> np.ndarray:
+        odds = np.tile(biases, (n, 1))
+        if len(keys):
+            owner, feature = np.divmod(keys, _FEATURES)
+            firsts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            odds[owner[firsts]] += np.add.reduceat(weights[feature], firsts)
+        return odds
+
+    def block(end: int) -> tuple[int, np.ndarray]:
+        owner = np.repeat(np.arange(len(owners)), owners)
+        return begin, scores(_keys(_codes(words, known), owner), end - begin)
+
+    for k, piece in enumerate(pieces):
+        own = _WORD.findall(piece.lower()) if len(piece) <= 16 * _BLOCK else None
+        if owners and (own is None or len(words) + len(own) > _BLOCK):
+            yield block(k)
+            begin, words, owners = k, [], []
+        if own is None or len(own) > _BLOCK:
+            yield k, scores(_features(piece, known), 1)
+            begin = k + 1
+        else:
+            words += own
+            owners.append(len(own))
+    if owners:
+        yield block(len(pieces))
+
+
+def _compare(text: str, family: str, least_cover: float) -> tuple[float, bool]:
+    """(cover by the family's best template, whether the paragraph is confirmed to be of the family)."""
+    lower = text.lower()
+    spans = [m.span() for m in _WORD.finditer(lower)]
+    words = [lower[a:b] for a, b in spans]
+    at: dict[str, list[int]] = {}
+    for i in range(max(1, len(words) - _SHINGLE + 1)):
+        at.setdefault(" ".join(words[i : i + _SHINGLE]), []).append(i)
+    best, others, agrees = 0.0, 0.0, False
+    for name, templates in TEMPLATES.items():
+        for template in templates:
+            shingles = list(dict.fromkeys(_of(template)))
+            cover = sum(s in at for s in shingles) / len(shingles)
+            if name != family:
+                others = max(others, cover)
+                continue
+            best = max(best, cover)
+            if cover >= least_cover and not agrees:
+                agrees = _agrees(text, words, spans, sorted(i for s in shingles for i in at.get(s, ())), family, template)
+    return best, agrees and best >= others
+
+
+def _agrees(text: str, words: list[str], spans: list[tuple[int, int]], hits: list[int], family: str, template: str) -> bool:
+    """Whether the longest stretch of hits tells the same family as the template."""
+    if not hits:
+        return False
+    stretches = [[hits[0]]]
+    for i in hits[1:]:
+        if i - stretches[-1][-1] > _APART:
+            stretches.append([])
+        stretches[-1].append(i)
+    stretch = max(stretches, key=len)
+    begin, end = stretch[0], min(len(words), stretch[-1] + _SHINGLE)
+    near, own = words[max(0, begin - _AROUND) : end + _AROUND], set(_WORD.findall(template.lower()))
+    if set(near) & _TELLING != own & _TELLING:
+        return False
+    version = re.search(r"-(\d+)\.\d+$", family)
+    if version and version[1] in own:
+        if version[1] not in near:
+            return False
+    elif version:
+        named = [words[i + 1] for i in range(end, min(len(words) - 1, end + _BEHIND)) if words[i] in ("version", "v")]
+        if any(x.isdigit() for x in named) and version[1] not in named:
+            return False
+    if len(own) <= _SHINGLE:
+        # A notice this short is one only where its sentence ends, on any place that it stands.
+        ends = (min(len(words), i + _SHINGLE) for i in hits)
+        return any(k == len(words) or words[k] in _FOLLOWING or _breaks(text[spans[k - 1][1] : spans[k][0] + 1]) for k in ends)
+    return True
+
+
+def _breaks(between: str) -> bool:
+    """Whether a sentence may end between two words; the first letter of the second is the last one of `between`."""
+    return any(not c.isspace() for c in between[:-1]) or "\n" in between or not between[-1].islower()
+
+
+def _places() -> tuple[dict[str, list[tuple[int, int]]], set[str]]:
+    """(template, place in it) of each shingle of a template, and the first words of shingles."""
     places: dict[str, list[tuple[int, int]]] = {}
     for k, template in enumerate(t for ts in TEMPLATES.values() for t in ts):
         for at, shingle in enumerate(_of(template)):
             places.setdefault(shingle, []).append((k, at))
-    firsts = {s.split()[0] for s in places}
+    return places, {s.split()[0] for s in places}
+
+
+def _paragraphs(docs: DataFrame) -> DataFrame:
+    """(doc_id, paragraph, text) of the paragraphs that are not blank."""
+    places, firsts = _places()
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,19 +388,6 @@ def _of(template: str) -> list[str]:
     return [" ".join(words[i : i + _SHINGLE]) for i in range(max(1, len(words) - _SHINGLE + 1))]
 
 
-def _cover(own: Column) -> Column:
-    """The largest share of a template of the predicted family that the shingles hold."""
-    found = F.lit(0.0)
-    for family, templates in TEMPLATES.items():
-        parts = []
-        for template in templates:
-            shingles = F.array(*(F.lit(s) for s in dict.fromkeys(_of(template))))
-            parts.append(F.size(F.array_intersect(shingles, own)) / F.size(shingles))
-        best = F.greatest(*parts) if len(parts) > 1 else parts[0]
-        found = F.when(F.col("licence") == family, best).otherwise(found)
-    return found
-
-
 def _variants(spark: SparkSession, families: list[str]) -> DataFrame:
     """(family label, text, held): templates, whole and without some words at either end."""
     rows = []
@@ -255,20 +425,13 @@ def _fit(lines: DataFrame, scratch: Scratch, sample: int, several: int) -> tuple
     other = other.select(F.lit(0.0).alias("label"), "text", (F.pmod(F.xxhash64("text", F.lit(1)), F.lit(5)) == 4).alias("held"))
     rows = other.unionByName(_variants(spark, families))
     rows = rows.withColumn("weight", F.when(F.col("label") == 0, 1.0).otherwise(_WEIGHT))
-    rows = scratch.write(rows.coalesce(4), "training")
-    stages = [_words()]
-    for n in range(1, _SHINGLE + 1):
-        stages += [
-            NGram(n=n, inputCol="l_words", outputCol=f"l_{n}"),
-            HashingTF(inputCol=f"l_{n}", outputCol=f"l_hashed_{n}", numFeatures=_HASHED, binary=True),
-        ]
-    stages.append(VectorAssembler(inputCols=[f"l_hashed_{n}" for n in range(1, _SHINGLE + 1)], outputCol="l_all"))
-    stages.append(
+    rows = scratch.write(rows.coalesce(4).withColumn("l_all", F.udf(_vector, VectorUDT())("text")), "training")
+    stages = [
         LogisticRegression(
             featuresCol="l_all", labelCol="label", weightCol="weight", rawPredictionCol="l_raw", probabilityCol="", predictionCol="",
             family="multinomial", regParam=1e-4, standardization=False, maxIter=40,
         )
-    )
+    ]
     model = Pipeline(stages=stages).fit(rows.filter("NOT held"))
     held = model.transform(rows.filter("held")).select(vector_to_array("l_raw").alias("raw"), F.col("label").cast("int").alias("label"))
     tried = [2.0 ** (k / 2) for k in range(-6, 9)]
@@ -277,6 +440,11 @@ def _fit(lines: DataFrame, scratch: Scratch, sample: int, several: int) -> tuple
     return model, families, min(scored)[1] if scored else 1.0
 
 
+def _vector(text: str) -> SparseVector:
+    found = _features(text, {})
+    return SparseVector(_FEATURES, found.tolist(), [1.0] * len(found))
+
+
 def _loss(temperature: float) -> Column:
     most = F.array_max("raw")
     total = F.aggregate("raw", F.lit(0.0), lambda s, x: s + F.exp((x - most) / temperature))

@@ -111,6 +111,35 @@ def test_main_text_is_whole():
     assert pages.main_text(f"<article><p>{long}</p></article>{talk}") == long
 
 
+def test_main_text_where_marks_mislead():
+    long = ("word " * 30).strip()
+    assert pages.main_text(f"<p>{long}</p><svg/><svg width='3' /><p>End</p>") == long + "\n\nEnd"
+    for attribute in ('data-role="navigation"', 'data-id="comments"', 'title="id=menu"', 'title="see class=footer"', "class=text class=menu"):
+        assert pages.main_text(f"<div><p {attribute}>{long}</p></div>") == long, attribute
+    assert pages.main_text(f"<nav><a href=x>Menu</a><article><p>{long}</p></article>") == long
+    assert pages.main_text(f"<div><nav><a href=x>Menu</a></div><article><p>{long}</p></article>") == long
+    assert pages.main_text(f"<nav><article>Menu</article></nav><p>{long}</p>") == long
+    assert pages.main_text(f"<form action=x><input><main><p>{long}</p></main></form>") == long
+    assert pages.main_text("<form action=x><p>Your name</p></form>") == ""
+    for name in ("notice-main", "main-widget"):
+        assert pages.main_text(f"<div class='{name}'><p>{long}</p></div><div class=footer>me</div>") == long, name
+        assert pages.main_text(f"<div class='{name}'><p>x</p></div><p>{long}</p>") == long, name
+    for name in ("main-menu", "nav-main", "notice", "main notice"):
+        assert pages.main_text(f"<div class='{name}'><p>{long}</p></div>") == "", name
+
+
+def test_windows_tell_a_teaser_from_the_article():
+    body = [("word " * (20 + k)).strip() for k in range(4)]
+    page = "<article><p>Read this as well</p></article>" + "".join(f"<p>{x}</p>" for x in body)
+    assert pages.main_text(page) == "\n\n".join(["Read this as well", *body])
+    # Much text beside an article, but in no window as much as in the article.
+    lines = "".join(f"<div>{k} link of some length</div>" for k in range(60))
+    page = f"<article><p>{body[3]}</p><p>{body[2]}</p></article>{lines}"
+    assert pages.main_text(page) == body[3] + "\n\n" + body[2]
+    assert pages.main_text(page, window=60) != pages.main_text(page)
+    assert pages.main_text(f"<main><p>Short</p></main>{lines}<p>{body[3]}</p>") == "Short"
+
+
 def test_near_copies(spark):
     base = [prose(i, 120) for i in range(6)]
     rows = [(10 * i, t, "en", "s") for i, t in enumerate(base)]
@@ -311,3 +340,46 @@ def test_licences_learn_from_different_paragraphs(spark, monkeypatch):
     training = [r.text for r in kept[0].filter("label = 0").collect()]
     # A fifth or so is held out of the fit.
     assert set(training) <= set(lines) and len(training) == len(set(training)) > 35
+
+
+def test_licences_that_resemble_others(spark):
+    rows = [(i, "\n".join(prose(i + k, 25) for k in range(3)), "en", "s") for i in range(60)]
+    notices = {
+        "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+        "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+        "GPL-3.0": "This work is licensed under the GNU General Public License, version 3 or later.",
+        "CC-BY-ND": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "CC-BY": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    }
+    rows += [(100 + k, text, "en", "s") for k, text in enumerate(notices.values())]
+    rows += [(200, "Licensed under the Apache License, Version 1.1.", "en", "s")]
+    rows += [(201, "The all rights reserved seats were sold long ago", "en", "s")]
+    free = licences.TEMPLATES["GPL-3.0"][1]
+    rows += [(202, f"{free} as published by the Free Software Foundation; either version 2 of the License, or later", "en", "s")]
+    rows += [(203, f"{free} as published by the Free Software Foundation; either version 3 of the License, or later", "en", "s")]
+    rows += [(None, "Copyright 2020 Someone. All rights reserved", "en", "s"), (204, "All rights reserved.", "en", "s"), (204, "All rights reserved.", "en", "s")]
+    got = licences.licences(documents(spark, rows), Scratch(spark, "l")).filter("confirmed").collect()
+    want = [(100 + k, name) for k, name in enumerate(notices)] + [(203, "GPL-3.0"), (None, "Proprietary"), (204, "Proprietary"), (204, "Proprietary")]
+    assert sorted(((r.doc_id, r.licence) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_licence_scores_do_not_depend_on_blocks(monkeypatch):
+    random = np.random.default_rng(3)
+    weights, biases = random.normal(size=(licences._FEATURES, 4)), random.normal(size=4)
+    pieces = [prose(k, n) for k, n in enumerate((5, 0, 900, 1, 2, 3, 40, 300, 7))]
+    want = []
+    for piece in pieces:
+        words = [licences._codes([w], {})[0] for w in licences._WORD.findall(piece.lower())]
+        keys = licences._keys(np.array(words, np.uint64), np.zeros(len(words), np.int64))
+        want.append(weights[keys].sum(axis=0) + biases)
+    for block in (1 << 15, 64, 8):
+        monkeypatch.setattr(licences, "_BLOCK", block)
+        got = np.zeros((len(pieces), 4))
+        for begin, odds in licences._odds(pieces, {}, weights, biases):
+            got[begin : begin + len(odds)] = odds
+        assert np.allclose(got, want)
+
+
+def test_licences_of_an_empty_table(spark):
+    assert licences.licences(documents(spark, [(1, None, "en", "s")]).limit(0), Scratch(spark, "l")).count() == 0
