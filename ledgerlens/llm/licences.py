@@ -164,13 +164,13 @@ def licences(
                 text = text.as_py()
                 if not text:
                     continue
-                pieces = joined_lines(text, places, firsts)
-                for some, odds in _odds([piece for _, piece in pieces], codes, weights, biases):
+                pieces = list(_pieces(text, places, firsts))
+                for some, odds in _odds(pieces, codes, weights, biases):
                     odds /= temperature
                     best = odds.argmax(axis=1)
                     sure = 1 / np.exp(odds - odds.max(axis=1, keepdims=True)).sum(axis=1)
                     for k in np.flatnonzero((best > 0) & (sure >= least_probability)):
-                        at, piece = pieces[some + k]
+                        at, piece, _ = pieces[some + k]
                         family = families[best[k]]
                         rows.append(row)
                         found.append((at, family, float(sure[k]), *_compare(piece, family, least_cover)))
@@ -195,14 +195,21 @@ def _keys(codes: np.ndarray, owners: np.ndarray) -> np.ndarray:
         spread = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         bins = (spread >> np.uint64(64 - _HASHED_BITS)).astype(np.int64)
         keys.append((starts * _FEATURES + ((n << _HASHED_BITS) + bins))[owners[n:] == starts])
-    return np.unique(np.concatenate(keys))
+    return _different(np.concatenate(keys))
+
+
+def _different(keys: np.ndarray) -> np.ndarray:
+    """Different keys in order; sorting is several times as fast here as the hashing of np.unique."""
+    keys.sort()
+    return keys[np.r_[True, keys[1:] != keys[:-1]]] if len(keys) else keys
 
 
 def _codes(words: list[str], known: dict[str, int]) -> np.ndarray:
     if len(known) > _KEPT:
         known.clear()
-    for word in set(words) - known.keys():
-        known[word] = zlib.crc32(word.encode("utf-8", "surrogatepass")) + 1
+    for word in set(words):
+        if word not in known:
+            known[word] = zlib.crc32(word.encode("utf-8", "surrogatepass")) + 1
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
@@ -213,11 +220,14 @@ def _features(text: str, known: dict[str, int]) -> np.ndarray:
     for k in range(0, max(1, len(words)), _BLOCK):
         codes = _codes(words[k : k + _BLOCK + _SHINGLE - 1], known)
         found.append(_keys(codes, np.zeros(len(codes), np.int64)))
-    return np.unique(np.concatenate(found)) if len(found) > 1 else found[0]
+    return _different(np.concatenate(found)) if len(found) > 1 else found[0]
+
 
+def _odds(pieces: list[tuple[int, str, list[str] | None]], known: dict[str, int], weights: np.ndarray, biases: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(number of the first piece, scores of each family for it and the pieces behind it), some thousand words at a time.
 
-def _odds(pieces: list[str], known: dict[str, int], weights: np.ndarray, biases: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(number of the first piece, scores of each family for it and the pieces behind it), some thousand words at a time."""
+    Pieces are given as (line, text, words); words that are None are found here, block by block.
+    """
     begin, words, owners = 0, [], []
 
     def scores(keys: np.ndarray, n: int) -> np.ndarray:
@@ -225,15 +235,16 @@ def _odds(pieces: list[str], known: dict[str, int], weights: np.ndarray, biases:
         if len(keys):
             owner, feature = np.divmod(keys, _FEATURES)
             firsts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            odds[owner[firsts]] += np.add.reduceat(weights[feature], firsts)
+            odds[owner[firsts]] += np.add.reduceat(weights.take(feature, axis=0), firsts)
         return odds
 
     def block(end: int) -> tuple[int, np.ndarray]:
         owner = np.repeat(np.arange(len(owners)), owners)
         return begin, scores(_keys(_codes(words, known), owner), end - begin)
 
-    for k, piece in enumerate(pieces):
-        own = _WORD.findall(piece.lower()) if len(piece) <= 16 * _BLOCK else None
+    for k, (_, piece, own) in enumerate(pieces):
+        if own is None and len(piece) <= 16 * _BLOCK:
+            own = _WORD.findall(piece.lower())
         if owners and (own is None or len(words) + len(own) > _BLOCK):
             yield block(k)
             begin, words, owners = k, [], []
@@ -332,10 +343,16 @@ def _paragraphs(docs: DataFrame) -> DataFrame:
 
 def joined_lines(text: str, places: dict[str, list[tuple[int, int]]], firsts: set[str]) -> list[tuple[int, str]]:
     """(first line, text) of each paragraph; `places` has (template, place in it) of each shingle, `firsts` their first words."""
+    return [(line, piece) for line, piece, _ in _pieces(text, places, firsts)]
+
+
+def _pieces(text: str, places: dict[str, list[tuple[int, int]]], firsts: set[str]) -> Iterator[tuple[int, str, list[str] | None]]:
+    """(first line, text, words) of each paragraph; None for the words of long texts, of which only those of neighbouring lines are held."""
     lines = text.split("\n")
     joins = [False] * len(lines)
     words: list[str] = []
     lies: list[int] = []
+    kept: list[list[str]] | None = [] if len(text) <= 16 * _BLOCK else None
 
     def close() -> None:
         before: tuple[int, list[tuple[int, int]]] | None = None
@@ -356,21 +373,22 @@ def joined_lines(text: str, places: dict[str, list[tuple[int, int]]], firsts: se
 
     for k, line in enumerate(lines):
         own = _WORD.findall(line.lower())
+        if kept is not None:
+            kept.append(own)
         if not own:
             close()
         words += own
         lies += [k] * len(own)
     close()
-    found, k = [], 0
+    k = 0
     while k < len(lines):
         begin = k
         while joins[k]:
             k += 1
         k += 1
-        piece = "\n".join(lines[begin:k])
+        piece = lines[begin] if k == begin + 1 else "\n".join(lines[begin:k])
         if piece.strip(" "):
-            found.append((begin, piece))
-    return found
+            yield begin, piece, None if kept is None else kept[begin] if k == begin + 1 else sum(kept[begin:k], [])
 
 
 def _words() -> RegexTokenizer:

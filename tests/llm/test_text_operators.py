@@ -375,10 +375,11 @@ def test_licence_scores_do_not_depend_on_blocks(monkeypatch):
         want.append(weights[keys].sum(axis=0) + biases)
     for block in (1 << 15, 64, 8):
         monkeypatch.setattr(licences, "_BLOCK", block)
-        got = np.zeros((len(pieces), 4))
-        for begin, odds in licences._odds(pieces, {}, weights, biases):
-            got[begin : begin + len(odds)] = odds
-        assert np.allclose(got, want)
+        for split in (lambda p: None, lambda p: licences._WORD.findall(p.lower())):
+            got = np.zeros((len(pieces), 4))
+            for begin, odds in licences._odds([(k, p, split(p)) for k, p in enumerate(pieces)], {}, weights, biases):
+                got[begin : begin + len(odds)] = odds
+            assert np.allclose(got, want)
 
 
 def test_licences_of_an_empty_table(spark):
