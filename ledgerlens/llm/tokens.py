@@ -20,13 +20,14 @@ executors leave no half files in the result.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,9 +44,9 @@ MAGIC = b"TOKREC01"
 _HEAD, _SUM, _BODY = "<Q", "<I", "<qBB"
 # A shard file ends with the record that reaches this size.
 SHARD_BYTES = 32 << 20
-# Pieces of text whose ids a worker keeps from task to task, in each of two generations.
-_KEPT = 200_000
-# Characters that are encoded at a time.
+# Words and pieces of text whose ids a worker keeps from task to task, of either so many in each of two generations.
+_KEPT = 300_000
+# Longer texts are split piece by piece, without a list of all pieces.
 _AT_ONCE = 1 << 20
 
 # Byte-level BPE never merges across the place where white space is followed by
@@ -56,6 +57,13 @@ _AT_ONCE = 1 << 20
 _S = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _WORD = f" ?[A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u017f]+(?=[.,;:!?()|*$%&#\"]|[{_S}]|$)"
 _PIECE = re.compile(f"{_WORD}| ?[^{_S}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+# A single space always begins a piece; one before other white space or the end may belong to a longer run.
+_LOOSE = re.compile(f" (?:[{_S}]|\\Z)")
+# Pieces that the byte-level split leaves whole.
+_PLAIN = re.compile(" ?[A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u017f]+")
+# Byte-level BPE writes a byte as the character of that number if it is visible, the others as those from 256 on.
+_HIDDEN = [b for b in range(256) if not (33 <= b < 127 or 161 <= b and b != 173)]
+_LETTERS = {b: 256 + i for i, b in enumerate(_HIDDEN)}
 
 
 def masked(checksum: int) -> int:
@@ -68,6 +76,8 @@ class Encoder:
 
     `by_piece` says that the tokenizer splits text before its merges as byte-level
     BPE does. Texts that hold one of its added tokens are always encoded whole.
+    A plain word goes straight to the library's BPE model where the file has that
+    model behind the byte-level split alone; the split would leave the word whole.
     """
 
     def __init__(self, path: str, end_id: int | None, by_piece: bool = True):
@@ -79,48 +89,71 @@ class Encoder:
         self._tokenizer.no_padding()
         self._tokenizer.no_truncation()
         self.width = 2 if self._tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self._type = f"<u{self.width}"
-        self._end = b"" if end_id is None else np.array([end_id], self._type).tobytes()
+        self._code = "H" if self.width == 2 else "I"
+        self._end = b"" if end_id is None else np.array([end_id], f"<u{self.width}").tobytes()
         added = [re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._added = re.compile("|".join(added)) if added else None
         self._by_piece = by_piece
-        self._code = "H" if self.width == 2 else "I"
-        self._ids: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
+        self._model = self._tokenizer.model if _splits_bytes_only(self._tokenizer) else None
+        self._ids = _Ids(self._piece)
+        self._words = _Ids(self._word)
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as bytes, the end id behind them; null counts as empty."""
-        out: list[bytes] = []
-        held, size = [], 0
-        for text in texts:
-            held.append(text or "")
-            size += len(held[-1])
-            if size >= _AT_ONCE:
-                out += self._some(held)
-                held, size = [], 0
-        return out + self._some(held)
-
-    def _some(self, whole: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(whole)
-        direct = [i for i, t in enumerate(whole) if not self._by_piece or (self._added and self._added.search(t))]
-        for i in direct:
-            out[i] = self._encode([whole[i]])[0] + self._end
-        rest = sorted(set(range(len(whole))) - set(direct))
-        pieces = {i: _PIECE.findall(whole[i]) for i in rest}
+        return [self._text(text or "") + self._end for text in texts]
+
+    def _text(self, text: str) -> bytes:
+        if not self._by_piece or (self._added and self._added.search(text)):
+            return self._encode(text)
         if len(self._ids) > _KEPT:
-            self._older, self._ids = self._ids, {}
-        new = set().union(*pieces.values()).difference(self._ids)
-        known = new.intersection(self._older)
-        self._ids.update(zip(known, map(self._older.__getitem__, known)))
-        new = list(new.difference(known))
-        self._ids.update(zip(new, self._encode(new)))
-        for i in rest:
-            out[i] = b"".join(map(self._ids.__getitem__, pieces[i])) + self._end
-        return out
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [array(self._code, x.ids).tobytes() for x in found]
+            self._ids = _Ids(self._piece, self._ids)
+        if len(self._words) > _KEPT:
+            self._words = _Ids(self._word, self._words)
+        if len(text) > _AT_ONCE:
+            return b"".join(self._ids[piece.group()] for piece in _PIECE.finditer(text))
+        if _LOOSE.search(text):
+            return self._pieces(text)
+        first, *rest = text.split(" ")
+        return b"".join((self._pieces(first), *map(self._words.__getitem__, rest)))
+
+    def _pieces(self, text: str) -> bytes:
+        return b"".join(map(self._ids.__getitem__, _PIECE.findall(text)))
+
+    def _word(self, word: str) -> bytes:
+        return self._pieces(" " + word)
+
+    def _piece(self, piece: str) -> bytes:
+        if self._model is None or not _PLAIN.fullmatch(piece):
+            return self._encode(piece)
+        letters = piece.encode().decode("latin-1").translate(_LETTERS)
+        return array(self._code, [token.id for token in self._model.tokenize(letters)]).tobytes()
+
+    def _encode(self, text: str) -> bytes:
+        return array(self._code, self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+class _Ids(dict):
+    """Ids of pieces, encoded when first asked for; `older` has those of the generation before."""
+
+    def __init__(self, encode: Callable[[str], bytes], older: dict[str, bytes] | None = None):
+        self._encode = encode
+        # The generation before that one is let go.
+        self._older = dict(older or {})
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self._older.get(piece)
+        if found is None:
+            found = self._encode(piece)
+        self[piece] = found
+        return found
+
+
+def _splits_bytes_only(tokenizer) -> bool:
+    """Whether text goes to a BPE model as words of byte letters, changed and split by nothing else."""
+    parts = json.loads(tokenizer.to_str())
+    split = parts["pre_tokenizer"] or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+    return bool(plain and parts["normalizer"] is None and parts["model"]["type"] == "BPE")
 
 
 def encoder(path: str, end_id: int | None, by_piece: bool = True) -> Encoder:

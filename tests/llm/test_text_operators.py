@@ -60,6 +60,25 @@ def test_pieces_encode_as_whole_texts():
         assert np.frombuffer(encode([text])[0], "<u2").tolist() == want, repr(text)
 
 
+def test_pieces_encode_alike_however_texts_are_split(monkeypatch):
+    """Words between single spaces, long texts piece by piece, pieces let go and met again."""
+    rng = np.random.default_rng(3)
+    parts = ["a", "Zé", "ß'", "'s", "T1", " ", "  ", " \n", "\t", "\u3000", "日本", ".", ",!", "_-", "x\u0301", "<|endoftext|>"]
+    texts = ["".join(rng.choice(parts, n)) for n in rng.integers(0, 30, 400)]
+    texts += ["one two  three", "a b\n c \nd ", " a", "a ", "\n a", ""]
+    want = None
+    for kept_, at_once in [(300_000, 1 << 20), (5, 1 << 20), (300_000, 3)]:
+        monkeypatch.setattr(tokens, "_KEPT", kept_)
+        monkeypatch.setattr(tokens, "_AT_ONCE", at_once)
+        encode = tokens.Encoder(tokenizer_path(), 0)
+        assert encode._model is not None
+        if want is None:
+            whole = (encode._tokenizer.encode(t, add_special_tokens=False).ids for t in texts)
+            want = [np.array([*ids, 0], "<u2").tobytes() for ids in whole]
+        assert encode(texts) == want
+        assert tokens.Encoder(tokenizer_path(), 0, by_piece=False)(texts) == want
+
+
 def test_token_records(spark):
     rows = [(5, "five of them", "en", "a"), (1, None, None, None), (3, "", "en", "a"), (None, "none", "en", "a")]
     rows += [(5, "five of them", "en", "a"), (9, "long words " * 5000, "en", "b")]
