@@ -63,7 +63,8 @@ def quality(
     row_names = free_names(docs, "evidence", "host_share", "path_share", "quality")
     model, trained = _fit(docs, labels, id_col, text_col, sample)
     margin, n, s, hs, host, path = free_names(docs, "q_margin", "q_n", "q_sum", "q_host", "q_host_key", "q_path_key")
-    scored = _scored(docs, text, model, trained, margin)
+    # The classifier reads each text once; sums and rows both come from what it left.
+    scored = scratch.write(_scored(docs, text, model, trained, margin), "scored")
     good = _logistic(F.col(margin))
     sites = (
         scored.groupBy(column(scored, host_col).alias(host), column(scored, path_col).alias(path))
