@@ -45,7 +45,7 @@ _HEAD, _SUM, _BODY = "<Q", "<I", "<qBB"
 # A shard file ends with the record that reaches this size.
 SHARD_BYTES = 32 << 20
 # Words and pieces of text whose ids a worker keeps from task to task, of either so many in each of two generations.
-_KEPT = 300_000
+_KEPT = 400_000
 # Longer texts are split piece by piece, without a list of all pieces.
 _AT_ONCE = 1 << 20
 
@@ -120,7 +120,11 @@ class Encoder:
         return b"".join(map(self._ids.__getitem__, _PIECE.findall(text)))
 
     def _word(self, word: str) -> bytes:
-        return self._pieces(" " + word)
+        """The ids of a word behind a space; marks behind it have ids of their own."""
+        first, *marks = _PIECE.findall(" " + word)
+        if not marks:
+            return self._piece(first)
+        return b"".join((self._words[first[1:]], *map(self._ids.__getitem__, marks)))
 
     def _piece(self, piece: str) -> bytes:
         if self._model is None or not _PLAIN.fullmatch(piece):
