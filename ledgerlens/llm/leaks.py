@@ -8,8 +8,10 @@ Fingerprints are cut into radius + 1 blocks: two that differ in at most
 that size within the radius. Those are compared exactly by weighted Jaccard
 similarity, sum of the smaller over sum of the larger counts.
 
-A window that shares no shingle with an item has similarity zero to it, so
-only windows around shared shingles get a fingerprint; that skips nothing.
+A window holds at least as many shingles of an item as the two share, so only
+windows where enough words begin a shingle of items get a fingerprint, and only
+candidates that hold enough shingles of their own item are compared. That skips
+nothing. Windows are searched in chunks, which bounds the memory of one text.
 
 The benchmark is the query set: it is taken in blocks of bounded size, and each
 block is laid against all documents where they lie, without a shuffle.
@@ -35,6 +37,8 @@ from ledgerlens.llm.words import SHINGLE, Words, shingles, words
 RADIUS = 21
 # Bytes of benchmark text that are laid against the documents at a time.
 BLOCK_BYTES = 4 << 20
+# (window, item) places that are looked at together, and words whose signs are summed together.
+_PLACES, _SIGNED = 1 << 20, 1 << 16
 _FOUND = "array<struct<item_id: bigint, first_word: int, n_words: int, shared: int, total: int>>"
 _ARROW = pa.list_(
     pa.struct(
@@ -182,26 +186,31 @@ class Items:
 
     def _in_text(self, own: np.ndarray, hits: np.ndarray, length: int, size: int, percent: int) -> list[dict]:
         """Search one text by its shingles of `size` words, `hits` being those that some item has."""
-        signs = None
         best: dict[int, tuple] = {}
         anchors = np.searchsorted(self.anchors, own[hits])
-        for n in sorted({int(n) for a in anchors for n in self.anchor_sizes[a] if min(n, SHINGLE) == size}):
+        different, which = np.unique(anchors, return_inverse=True)
+        held_by = [self.anchor_sizes[a].tolist() for a in different.tolist()]
+        for n in sorted({n for sizes in held_by for n in sizes if min(n, SHINGLE) == size}):
             span = max(1, n - size + 1)
-            near = hits[[n in self.anchor_sizes[a] for a in anchors]]
-            starts = np.unique((near[:, None] - np.arange(span)).ravel())
-            low, high = np.maximum(starts, 0), np.minimum(starts + span, len(own))
-            if signs is None:
-                signs = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(_signs(own), axis=0, dtype=np.int32)])
-            prints = fingerprints(signs[high] - signs[low] > 0)
-            for window, item in self._within(prints, n):
-                a, b = int(low[window]), int(high[window])
-                here, there = Counter(own[a:b].tolist()), self.counts[item]
-                shared = sum((here & there).values())
-                total = (b - a) + there.total() - shared
-                if 100 * shared >= percent * total:
-                    known = best.get(item)
-                    if known is None or (shared * known[1], -a) > (known[0] * total, -known[2]):
-                        best[item] = (shared, total, a, b)
+            # All items of n words have `span` shingles, so a window must share this many with one of them.
+            least = -(-percent * span // 100)
+            near = hits[np.array([n in sizes for sizes in held_by])[which]]
+            if len(near) < least:
+                continue
+            for low, high in _windows(near, len(own), span, least):
+                prints = _prints(own, low, high)
+                for window, item in self._within(prints, n):
+                    a, b = int(low[window]), int(high[window])
+                    there = self.counts[item]
+                    held = [h for h in own[a:b].tolist() if h in there]
+                    if len(held) < least:
+                        continue
+                    shared = sum((Counter(held) & there).values())
+                    total = (b - a) + there.total() - shared
+                    if 100 * shared >= percent * total:
+                        known = best.get(item)
+                        if known is None or (shared * known[1], -a) > (known[0] * total, -known[2]):
+                            best[item] = (shared, total, a, b)
         return [
             {"item_id": self.ids[i], "first_word": a, "n_words": min(b + size - 1, length) - a, "shared": s, "total": t}
             for i, (s, t, a, b) in sorted(best.items())
@@ -210,21 +219,47 @@ class Items:
     def _within(self, prints: np.ndarray, n: int) -> Iterator[tuple[int, int]]:
         """(window, item) of all items of n words whose fingerprint is within the radius."""
         of_size, tables = self.tables[n]
-        seen = np.zeros((len(prints), len(of_size)), dtype=bool) if len(of_size) <= 4096 else None
-        pairs: set[tuple[int, int]] = set()
-        for value, table in zip(_cut(prints, self.cuts), tables):
-            for v in np.unique(value).tolist():
-                if v in table:
-                    at = np.flatnonzero(value == v)
-                    if seen is not None:
-                        seen[np.ix_(at, table[v])] = True
-                    else:
-                        pairs.update((int(w), int(i)) for w in at for i in table[v])
-        found = np.argwhere(seen) if seen is not None else np.array(sorted(pairs), dtype=np.int64).reshape(-1, 2)
-        window, item = found[:, 0], of_size[found[:, 1]]
-        apart = np.bitwise_count(prints[window] ^ self.prints[item])
-        near = apart <= self.radius
-        return zip(window[near].tolist(), item[near].tolist())
+        step = max(1, _PLACES // len(of_size))
+        for first in range(0, len(prints), step):
+            some = prints[first : first + step]
+            seen = np.zeros((len(some), len(of_size)), dtype=bool)
+            for value, table in zip(_cut(some, self.cuts), tables):
+                for v in np.unique(value).tolist():
+                    if v in table:
+                        seen[np.ix_(value == v, table[v])] = True
+            window, place = np.divmod(np.flatnonzero(seen), len(of_size))
+            near = np.bitwise_count(some[window] ^ self.prints[of_size[place]]) <= self.radius
+            yield from zip((window[near] + first).tolist(), of_size[place[near]].tolist())
+
+
+def _windows(near: np.ndarray, n: int, span: int, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Bounds of the windows of `span` among n shingles that hold at least `least` of the places `near`, in chunks and in order."""
+    # A window that does begins at most span - 1 places before one of `near`.
+    step = max(1, _PLACES // span)
+    done = 1 - span
+    for first in range(0, len(near), step):
+        starts = np.unique((near[first : first + step, None] - np.arange(span)).ravel())
+        starts = starts[starts >= done]
+        if not len(starts):
+            continue
+        done = int(starts[-1]) + 1
+        low, high = np.maximum(starts, 0), np.minimum(starts + span, n)
+        enough = np.searchsorted(near, high) - np.searchsorted(near, low) >= least
+        if enough.any():
+            yield low[enough], high[enough]
+
+
+def _prints(own: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The fingerprint of each window, bounds ascending; signs are summed for a stretch of the text at a time."""
+    out = np.zeros(len(low), dtype=np.uint64)
+    first = 0
+    while first < len(low):
+        end = max(first + 1, int(np.searchsorted(low, low[first] + _SIGNED)))
+        base, top = int(low[first]), int(high[end - 1])
+        signs = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(_signs(own[base:top]), axis=0, dtype=np.int32)])
+        out[first:end] = fingerprints(signs[high[first:end] - base] - signs[low[first:end] - base] > 0)
+        first = end
+    return out
 
 
 def _cut(prints: np.ndarray, cuts: np.ndarray) -> list[np.ndarray]:

@@ -232,6 +232,25 @@ def test_leaks_match_brute_force(spark):
     assert leaks.leaks(documents(spark, rows), benchmark.limit(0)).count() == 0
 
 
+def test_leaks_do_not_depend_on_chunks(monkeypatch):
+    """A long text made of all items, searched a few windows at a time, holds each item once and whole."""
+    passages = [prose(200 + i, 30 + i % 3) for i in range(60)] + [prose(200, 30)]
+    items = leaks.Items.of(list(range(61)), [p.encode() for p in passages], leaks.RADIUS)
+    text = " ".join(passages)
+    texts = [text, None, "", " ".join(text.split()[7:]), prose(1, 3000), passages[3]]
+    search = lambda: [
+        row for run in words.words(pa.array([t and t.encode() for t in texts], pa.binary())) for row in items.in_texts(run, 80)
+    ]
+    whole = search()
+    assert {d["item_id"] for d in whole[0]} == set(range(61)) and all(d["shared"] == d["total"] for d in whole[0])
+    assert whole[0][0]["first_word"] == whole[0][60]["first_word"] == 0
+    assert whole[1] == whole[2] == whole[4] == [] and [d["item_id"] for d in whole[5]] == [3]
+    for places, signed in [(1, 1), (100, 50), (3000, 400)]:
+        monkeypatch.setattr(leaks, "_PLACES", places)
+        monkeypatch.setattr(leaks, "_SIGNED", signed)
+        assert search() == whole
+
+
 def test_quality(spark):
     rows, labels = [], []
     for i in range(80):
