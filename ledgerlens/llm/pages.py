@@ -4,13 +4,12 @@ Markup is stripped to one line per block of the page. A line weighs what its
 text is long; a line of menus, adverts, forms, comments and the like, told by
 elements, roles, classes and ids, weighs nothing, and neither does one outside
 the page's article, where it marks one. Nothing else is left out.
-Weights are summed over windows of consecutive lines. The sum surges where the
-article begins and dives where it ends; the lines between a surge and the next
-dive, other than those without weight, are the text. Window sums also decide
-what marks alone can't: an `article` beside which windows surge higher, over
-far more text, is a teaser and not the page's article, and an element whose name
-is as much that of a main part as that of furniture (`main-widget`) is the text
-where nothing else has any weight.
+The lines that have weight are the text, however far apart or short they are.
+Weights are summed over windows of consecutive lines; the sums surge where much
+text lies together. They decide what marks alone can't: an `article` beside
+which windows surge higher, over far more text, is a teaser and not the page's
+article. An element whose name is as much that of a main part as that of
+furniture (`main-widget`) is the text where nothing else has any weight.
 """
 
 from __future__ import annotations
@@ -239,7 +238,7 @@ def main_text(page: str | None, window: int = WINDOW) -> str:
             weights = free
     if not any(weights):
         weights = [len(text) if doubt else 0 for text, _, _, doubt in lines]
-    return "\n\n".join(lines[i][0] for a, b in spans(weights, window, 1) for i in range(a, b) if weights[i])
+    return "\n\n".join(text for (text, _, _, _), weight in zip(lines, weights) if weight)
 
 
 def _sums(weights: list[int], window: int) -> list[int]:
@@ -253,26 +252,6 @@ def _sums(weights: list[int], window: int) -> list[int]:
     return sums
 
 
-def spans(weights: list[int], window: int, surge: int) -> list[tuple[int, int]]:
-    """(first line, line behind the last) of the stretches from a surge of the window sums to the next dive.
-
-    A stretch grows while windows sum to something and holds one that reaches `surge`.
-    """
-    sums, found, k = _sums(weights, window), [], 0
-    while k < len(sums):
-        if not sums[k]:
-            k += 1
-            continue
-        begin, peak = k, 0
-        while k < len(sums) and sums[k]:
-            peak = max(peak, sums[k])
-            k += 1
-        if peak >= surge:
-            # Window k ends with line k; the last of a stretch ends window - 1 lines behind its last text.
-            found.append((begin, k - window + 1))
-    return found
-
-
 def extract(pages: DataFrame, html_col: str = "html", keys: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """The key columns, text and n_chars (code points) of every page; a null page counts as empty, no text is ''.
 

@@ -422,3 +422,10 @@ def test_licence_scores_do_not_depend_on_blocks(monkeypatch):
 
 def test_licences_of_an_empty_table(spark):
     assert licences.licences(documents(spark, [(1, None, "en", "s")]).limit(0), Scratch(spark, "l")).count() == 0
+
+
+def test_main_text_keeps_every_line_with_weight():
+    """Lines of the article stay however far apart they lie; no stage beside the weights picks among them."""
+    furniture = "<nav><ul>" + "<li>Menu</li>" * 9 + "</ul></nav>"
+    assert pages.main_text(f"<p>One</p>{furniture}<p>2</p>{furniture}{furniture}<p>Three</p>") == "One\n\n2\n\nThree"
+    assert not hasattr(pages, "spans")
