@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +14,8 @@ from ledgerlens.operators.joins import skew_join
 from ledgerlens.sources import Scratch
 
 
-# Links that one task contracts at a time.
-_CHUNK = 2_000_000
+# Links that one task contracts at a time; half a million take about 80 MB of its Python.
+_CHUNK = 500_000
 
 
 def connected_components(edges: DataFrame, scratch: Scratch, chunk: int = _CHUNK) -> DataFrame:
@@ -55,25 +56,42 @@ def _contract(links: DataFrame, scratch: Scratch, chunk: int) -> DataFrame:
     # Gathers links of a node, yet splits what would make one task too large.
     gathered = links.hint("rebalance", "child")
 
-    def stars_of_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size = [], 0
+    def stars_of_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # One array takes the links of all chunks in turn.
+        held, size = np.empty((2, chunk), dtype=np.int64), 0
         for batch in batches:
-            held.append(batch)
-            size += len(batch)
-            if size >= chunk:
-                yield contracted(pd.concat(held))
-                held, size = [], 0
+            links, at = np.stack([batch[k].to_numpy() for k in ("child", "parent")]), 0
+            while at < links.shape[1]:
+                taken = min(chunk - size, links.shape[1] - at)
+                held[:, size : size + taken] = links[:, at : at + taken]
+                size, at = size + taken, at + taken
+                if size == chunk:
+                    yield from _in_batches(*_stars(*held))
+                    size = 0
         if size:
-            yield contracted(pd.concat(held))
+            yield from _in_batches(*_stars(*held[:, :size]))
 
-    return scratch.write(gathered.mapInPandas(stars_of_chunks, "child long, parent long"), "links")
+    return scratch.write(gathered.mapInArrow(stars_of_chunks, "child long, parent long"), "links")
+
+
+def _in_batches(child: np.ndarray, parent: np.ndarray, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """Links in pieces that take little memory on their way to the JVM."""
+    for at in range(0, len(child), rows):
+        columns = [pa.array(x[at : at + rows]) for x in (child, parent)]
+        yield pa.RecordBatch.from_arrays(columns, names=["child", "parent"])
 
 
 def contracted(links: pd.DataFrame) -> pd.DataFrame:
     """Stars (child, parent) that connect the same nodes as the links."""
-    nodes, places = np.unique(links[["child", "parent"]].to_numpy().T, return_inverse=True)
-    a, b = places.reshape(2, -1)
-    root = np.arange(len(nodes))
+    child, parent = _stars(links["child"].to_numpy(), links["parent"].to_numpy())
+    return pd.DataFrame({"child": child, "parent": parent})
+
+
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    nodes, places = np.unique(np.concatenate([a, b]), return_inverse=True)
+    # Places of nodes take half the memory of their numbers.
+    a, b = places.astype(np.int32).reshape(2, -1)
+    root = np.arange(len(nodes), dtype=np.int32)
     while True:
         # Hook the roots of both ends to the smaller one, then follow the hooks.
         low, before = np.minimum(root[a], root[b]), root.copy()
@@ -84,7 +102,7 @@ def contracted(links: pd.DataFrame) -> pd.DataFrame:
         if (root == before).all():
             break
     child = root != np.arange(len(nodes))
-    return pd.DataFrame({"child": nodes[child], "parent": nodes[root[child]]})
+    return nodes[child], nodes[root[child]]
 
 
 def _large_star(links: DataFrame, scratch: Scratch) -> DataFrame:

@@ -149,3 +149,23 @@ def test_components(spark, chunk):
     got = {r.node: r.component for r in connected_components(edges, Scratch(spark, "cc"), chunk).collect()}
     want = {i: 0 for i in order} | {100 + i: 100 for i in range(40)} | {i: 200 for i in range(200, 204)}
     assert got == want | {300: 300, 301: 300}
+
+
+def test_contraction_holds_a_bounded_number_of_links(spark, monkeypatch):
+    """A batch larger than a chunk is contracted piece by piece."""
+    from ledgerlens.operators import components as P
+
+    scratch, sizes = Scratch(spark, "cc"), spark.sparkContext.accumulator(0)
+    stars = P._stars
+
+    def counted(a, b):
+        sizes.add(int(len(a) > 10))
+        return stars(a, b)
+
+    monkeypatch.setattr(P, "_stars", counted)
+    links = spark.createDataFrame([(i + 1, i) for i in range(200)], "child long, parent long").coalesce(1)
+    found = P._contract(links, scratch, 10)
+    assert sizes.value == 0 and P._CHUNK <= 500_000
+    monkeypatch.undo()
+    got = {r.node: r.component for r in connected_components(found.toDF("a", "b"), scratch).collect()}
+    assert got == {i: 0 for i in range(201)}
