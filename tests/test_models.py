@@ -164,3 +164,19 @@ def test_no_rows_to_boost(spark):
     none = spark.createDataFrame([], "features array<double>, label double").select(array_to_vector("features").alias("features"), "label")
     with pytest.raises(ValueError, match="no rows"):
         boosting.BoostedTrees().fit(none)
+
+
+def test_trees_are_walked_alike_in_both_ways(monkeypatch):
+    """Uneven trees, bytes where Arrow holds them, and the walk of deep trees."""
+    import pyarrow as pa
+
+    random = np.random.default_rng(6)
+    codes = random.integers(0, 256, (500, 3)).astype(np.uint8)
+    sliced = pa.array([b"abc", *[r.tobytes() for r in codes]], pa.binary())[1:]
+    assert (boosting._arrow_codes(sliced, 3) == codes).all()
+    tree = boosting.Tree(feature={0: 1, 2: 0, 5: 2}, cut={0: 100, 2: 30, 5: 255}, value={1: 0.5, 6: 2.0, 11: 3.0, 12: 4.0})
+    for some in (tree, boosting.Tree(), boosting.Tree(value={0: 1.0})):
+        full = some.nodes_of(codes)
+        monkeypatch.setattr(boosting, "_FULL_DEPTH", -1)
+        assert (some.nodes_of(codes) == full).all()
+        monkeypatch.undo()
