@@ -139,6 +139,51 @@ def test_dense_net_gradient():
     assert got == pytest.approx(np.array([(loss(flat + s) - loss(flat - s)) / 2e-6 for s in step]), abs=1e-6)
 
 
+def test_dense_net_steps_reuse_their_arrays():
+    """Batches of all sizes in one room, masks drawn ahead: the plain formulas bit by bit, nothing allocated twice."""
+    from ledgerlens.operators import dense_net as N
+
+    random = np.random.default_rng(3)
+    shapes, size, keep = N._shapes(3, [8, 4]), 16, 0.75
+    flat, room = N._initial(shapes, 1), N._Room(size, shapes)
+    batches = [(random.normal(size=(n, 3)), random.integers(0, 2, n).astype(float)) for n in (16, 16, 16, 5)]
+    drawn, order = np.random.default_rng(9), []
+    for x, y, masks in N._with_masks(iter(batches), size, shapes, keep, np.random.default_rng(9)):
+        got = N._gradient(x, y, flat, shapes, keep, None, masks, room)
+        assert got is room.grad
+        (w1, b1), (w2, b2), (w3, b3) = N._unpack(flat, shapes)
+        a1 = np.maximum(x @ w1 + b1, 0.0)
+        m1 = (drawn.random(a1.shape) < keep) / keep
+        a2 = np.maximum((a1 * m1) @ w2 + b2, 0.0)
+        m2 = (drawn.random(a2.shape) < keep) / keep
+        d3 = (1.0 / (1.0 + np.exp(-((a2 * m2) @ w3 + b3))) - y[:, None]) / len(y)
+        d2 = (d3 @ w3.T) * m2 * (a2 * m2 > 0)
+        d1 = (d2 @ w2.T) * m1 * (a1 * m1 > 0)
+        parts = [(x.T @ d1, d1), ((a1 * m1).T @ d2, d2), ((a2 * m2).T @ d3, d3)]
+        assert got == pytest.approx(np.concatenate([np.r_[g.ravel(), d.sum(axis=0)] for g, d in parts]), rel=1e-12, abs=1e-15)
+        order.append(len(y))
+    assert order == [16, 16, 16, 5]
+
+
+def test_dense_net_reads_arrow_batches():
+    """Slices, empty frames and frames smaller than a batch; no row is lost or moved, uneven rows are an error."""
+    import pyarrow as pa
+
+    from ledgerlens.operators import dense_net as N
+
+    x, y = np.arange(120.0).reshape(40, 3), np.arange(40.0)
+    table = pa.record_batch({"x": pa.array(list(x), pa.list_(pa.float64())), "y": pa.array(y)})
+    cuts = [0, 3, 3, 5, 21, 22, 40]
+    got = list(N._batches((table.slice(a, b - a) for a, b in zip(cuts, cuts[1:])), 8, 3))
+    assert [len(b) for _, b in got] == [8] * 5
+    assert (np.concatenate([a for a, _ in got]) == x).all() and (np.concatenate([b for _, b in got]) == y).all()
+    assert [len(b) for _, b in N._batches(iter([table]), 32, 3)] == [32, 8]
+    for rows in ([[1.0, 2.0], [1.0, 2.0, 3.0, 4.0]], [[1.0, 2.0, 3.0], None]):
+        odd = pa.record_batch({"x": pa.array(rows, pa.list_(pa.float64())), "y": pa.array([0.0, 1.0])})
+        with pytest.raises(ValueError, match="3 features"):
+            list(N._batches(iter([odd]), 8, 3))
+
+
 @pytest.mark.parametrize("family", ["linear_svc", "logistic_regression", "decision_tree"])
 def test_families_learn(scaled, family):
     assert _f1(classifiers.fit(classifiers.FAMILIES[family](), scaled), scaled) > 0.8
