@@ -189,6 +189,17 @@ def test_families_learn(scaled, family):
     assert _f1(classifiers.fit(classifiers.FAMILIES[family](), scaled), scaled) > 0.8
 
 
+def test_forest_rows_keep_their_nodes(scaled):
+    """Kept nodes spare the walk from the roots at every level and change no tree."""
+    settings = dict(numTrees=12, maxDepth=6)
+    forest = classifiers.random_forest(**settings)
+    assert forest.getCacheNodeIds()
+    plain = classifiers.random_forest(**settings, cacheNodeIds=False)
+    kept, walked = (classifiers.fit(f, scaled) for f in (forest, plain))
+    trees = [[t.toDebugString.split("\n", 1)[1] for t in m.trees] for m in (kept, walked)]
+    assert trees[0] == trees[1] and len(trees[0]) == 12
+
+
 def test_cuts_of_a_level_are_the_best_gains(spark):
     random = np.random.default_rng(5)
     x = random.normal(size=(600, 5)).round(1)
