@@ -216,6 +216,41 @@ def test_cuts_of_a_level_are_the_best_gains(spark):
         assert np.allclose([cut[c] for c in ("gain", "gl", "hl", "g", "h")], [want[node][c] for c in ("gain", "gl", "hl", "g", "h")], atol=1e-9)
 
 
+def test_models_that_grow_side_by_side_are_those_of_single_fits(scaled, monkeypatch):
+    """Unlike depths, lengths, samples and bins, in bundles of few nodes; only last digits of sums may differ."""
+    calls, cuts = [], boosting.cuts_side_by_side
+    monkeypatch.setattr(boosting, "cuts_side_by_side", lambda *a: calls.append(len(a[3])) or cuts(*a))
+    monkeypatch.setattr(boosting, "_NODES_AT_ONCE", 5)
+    estimator = boosting.BoostedTrees(max_bin=16, learning_rate=0.5)
+    settings = [
+        {"n_estimators": 3, "max_depth": 3},
+        {"n_estimators": 2, "max_depth": 1, "subsample": 0.7, "min_child_weight": 0.1},
+        {"n_estimators": 4, "max_depth": 2, "colsample_bytree": 0.5, "seed": 5},
+        {"n_estimators": 2, "max_depth": 2, "max_bin": 8},
+    ]
+    maps = [{estimator.getParam(k): v for k, v in m.items()} for m in settings]
+    together = estimator.fit(scaled, maps)
+    assert max(calls) == 3
+    for model, own in zip(together, maps):
+        single = estimator.fit(scaled, own)
+        assert model.edges == single.edges and len(model.trees) == len(single.trees) == own[estimator.n_estimators]
+        assert model.getOrDefault("max_depth") == own[estimator.max_depth]
+        for a, b in zip(model.trees, single.trees):
+            assert (a.feature, a.cut) == (b.feature, b.cut) and a.value == pytest.approx(b.value, rel=1e-9)
+
+
+def test_nodes_that_no_cut_may_divide_are_not_opened():
+    from types import SimpleNamespace as Cut
+
+    growth = boosting.Growth("score", [], boosting.Tree(), [0], min_child_weight=1.0, max_depth=3)
+    growth.grow([Cut(node=0, feature=0, bin=1, gain=2.0, gl=1.0, hl=1.9, g=3.0, h=6.0)])
+    assert growth.open == [2] and growth.tree.value == {1: -1.0 / 2.9, 2: -2.0 / 5.1}
+    growth.grow([Cut(node=2, feature=0, bin=2, gain=1.0, gl=1.0, hl=2.0, g=2.0, h=4.1)])
+    assert growth.open == [5, 6]
+    growth.grow([Cut(node=5, feature=0, bin=0, gain=None, gl=0.0, hl=0.0, g=1.0, h=2.0), Cut(node=6, feature=0, bin=0, gain=1.0, gl=0.0, hl=1.0, g=1.0, h=2.1)])
+    assert growth.open == [] and set(growth.tree.value) == {1, 5, 13, 14}
+
+
 def test_no_rows_to_boost(spark):
     none = spark.createDataFrame([], "features array<double>, label double").select(array_to_vector("features").alias("features"), "label")
     with pytest.raises(ValueError, match="no rows"):
